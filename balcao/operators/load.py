@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from balcao import schemas
@@ -15,8 +15,9 @@ from balcao.params import PADRAO, Params
 
 c = F.col
 
-# Columns a repeated store or product row may change.
+# Columns a repeated store, product or file row may change.
 LOJA_ATUALIZAVEIS = ("loja_nome", "cidade", "meta_mensal", "updated_at")
+LEDGER_ATUALIZAVEIS = ("checksum", "registros_lidos", "registros_validos", "pipeline_version", "updated_at")
 PRODUTO_ATUALIZAVEIS = ("produto_nome", "categoria", "subcategoria", "preco_base", "custo_base")
 
 
@@ -124,9 +125,11 @@ def ledger_rows(envelopes: DataFrame, instante: datetime, params: Params = PADRA
 def merge_ledger(ledger: DataFrame, novos: DataFrame) -> DataFrame:
     """A file seen again stays PROCESSED while its checksum is unchanged and becomes REPROCESSED otherwise. The count
     of invalid rows and the first processing time are never changed."""
-    mudou = F.when(c("t.checksum") == c("s.checksum"), "PROCESSED").otherwise("REPROCESSED")
-    atualizar = ("checksum", "registros_lidos", "registros_validos", "pipeline_version", "updated_at")
-    return merge_by_key(ledger, novos, ["file_path"], atualizar, {"status": mudou})
+    return merge_by_key(ledger, novos, ["file_path"], LEDGER_ATUALIZAVEIS, {"status": ledger_status()})
+
+
+def ledger_status() -> Column:
+    return F.when(c("t.checksum") == c("s.checksum"), "PROCESSED").otherwise("REPROCESSED")
 
 
 def file_row_counts(bronze: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -20,7 +21,7 @@ def lower_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip().lower() for c in df.columns])
 
 
-def keep_last(df: DataFrame, chave: tuple[str, ...], ordem: list[Column]) -> DataFrame:
+def keep_last(df: DataFrame, chave: Sequence[str], ordem: list[Column]) -> DataFrame:
     """Last row per key. The ``= 1`` filter lets Spark drop all but one row per key before the shuffle,
     so a hot key sends one row per task."""
     w = Window.partitionBy(*chave).orderBy(*ordem)
@@ -29,8 +30,10 @@ def keep_last(df: DataFrame, chave: tuple[str, ...], ordem: list[Column]) -> Dat
 
 def dedup_sales(bronze: DataFrame) -> DataFrame:
     """File order decides which repeated sale survives: the highest file name, then the highest position.
-    Runs on raw values, before any cleaning."""
-    return keep_last(bronze, FATO_CHAVE, [F.col("arquivo_origem").desc(), F.col("posicao").desc()])
+    Runs on raw values, before any cleaning. With several reference dates each date is deduplicated on its own, as
+    separate daily runs would do."""
+    chave = [*FATO_CHAVE, "data_referencia"] if "data_referencia" in bronze.columns else list(FATO_CHAVE)
+    return keep_last(bronze, chave, [F.col("arquivo_origem").desc(), F.col("posicao").desc()])
 
 
 def standardize(df: DataFrame) -> DataFrame:

@@ -55,7 +55,7 @@ def store_series(wh: Warehouse) -> DataFrame:
     base = m.select(
         *CHAVE,
         c("faturamento").alias("receita"),
-        views.pct2(c("faturamento"), F.sum("faturamento").over(Window.partitionBy("ano", "mes"))).alias(
+        views.pct2(c("faturamento"), F.sum("faturamento").over(views.month_window())).alias(
             "market_share_pct"
         ),
         views.pct2(c("faturamento") - anterior, anterior).alias("crescimento_mom"),

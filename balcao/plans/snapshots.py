@@ -14,7 +14,10 @@ from balcao.plans import forecast, views
 from balcao.sources.warehouse import Warehouse
 
 c = F.col
-_ZERO = F.lit(0).cast("int")
+
+
+def _zero() -> Column:
+    return F.lit(0).cast("int")
 
 
 def months(wh: Warehouse) -> DataFrame:
@@ -52,7 +55,7 @@ def _sales_overview(vendas: DataFrame) -> list[Column]:
     pedidos = F.count_distinct(completed(c("id_venda")))
 
     def soma(coluna: str) -> Column:
-        return F.coalesce(F.sum(completed(c(coluna))), _ZERO)
+        return F.coalesce(F.sum(completed(c(coluna))), _zero())
 
     return [
         soma("valor_liquido").alias("receita_liquida"),
@@ -84,7 +87,7 @@ def dre_totals(wh: Warehouse, ano: int, mes: int) -> DataFrame:
     somas = ("receita_liquida", "lucro_bruto", "ebitda", "resultado_antes_ir")
     return (
         of_month(wh.dre(), ano, mes)
-        .agg(*[F.coalesce(F.sum(v), _ZERO).alias(v) for v in somas])
+        .agg(*[F.coalesce(F.sum(v), _zero()).alias(v) for v in somas])
         .withColumn("margem_ebitda_pct", F.coalesce(pct(c("ebitda"), c("receita_liquida")), F.lit(0.0)))
     )
 
@@ -271,7 +274,7 @@ def store_status(wh: Warehouse, loja_id: int, ano: int, mes: int) -> DataFrame:
     return (
         _store_month(wh, loja_id, ano, mes, "valor_liquido")
         .groupBy("status")
-        .agg(F.count("*").alias("registros"), F.coalesce(F.sum("valor_liquido"), _ZERO).alias("valor_liquido"))
+        .agg(F.count("*").alias("registros"), F.coalesce(F.sum("valor_liquido"), _zero()).alias("valor_liquido"))
         .orderBy(c("registros").desc(), "status")
     )
 

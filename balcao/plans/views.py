@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 from balcao.functions.columns import days_in_month, pct, pct2, ratio, traffic_light
 from balcao.functions.lineage import write_intermediate
@@ -15,19 +15,21 @@ from balcao.operators.ranking import spread_rank
 from balcao.sources.warehouse import Warehouse
 
 CHAVE = ["ano", "mes", "loja_id"]
-_MES = Window.partitionBy("ano", "mes")
-_HISTORICO = Window.partitionBy("loja_id").orderBy("ano", "mes")
 c = F.col
 
 
+def month_window() -> WindowSpec:
+    return Window.partitionBy("ano", "mes")
+
+
 def previous(coluna: str) -> Column:
     """Value of the store's previous row, which need not be the previous calendar month."""
-    return F.lag(coluna).over(_HISTORICO)
+    return F.lag(coluna).over(Window.partitionBy("loja_id").orderBy("ano", "mes"))
 
 
 def month_rank(coluna: Column) -> Column:
     """Rank with gaps inside a month; NULL ranks first."""
-    return F.rank().over(_MES.orderBy(coluna.desc_nulls_first()))
+    return F.rank().over(month_window().orderBy(coluna.desc_nulls_first()))
 
 
 def monthly_revenue(wh: Warehouse) -> DataFrame:
@@ -54,7 +56,7 @@ def store_revenue(wh: Warehouse) -> DataFrame:
             *CHAVE,
             "faturamento",
             month_rank(c("faturamento")).alias("ranking"),
-            pct2(c("faturamento"), F.sum("faturamento").over(_MES)).alias("market_share_pct"),
+            pct2(c("faturamento"), F.sum("faturamento").over(month_window())).alias("market_share_pct"),
             pct2(c("faturamento") - anterior, anterior).alias("crescimento_mom"),
         )
         .join(wh.lojas(), "loja_id")

@@ -45,6 +45,15 @@ class Lake:
     def append_json(self, df: DataFrame, tabela: str) -> None:
         df.write.mode("append").option("ignoreNullFields", False).json(self.path(tabela))
 
+    def replace_json_days(self, df: DataFrame, tabela: str) -> None:
+        """One JSON report per reference date; a rerun replaces the date's report."""
+        (
+            df.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("data_referencia")
+            .json(self.path(tabela))
+        )
+
     def replace_partitions(self, df: DataFrame, tabela: str, particoes: Sequence[str]) -> None:
         """Overwrite the partitions present in ``df``. The result is staged first: its plan may read the same table."""
         pronto = write_intermediate(df, tabela.replace("/", "_"))

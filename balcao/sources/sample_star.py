@@ -138,6 +138,36 @@ class SampleStar(Warehouse):
             }
         )
 
+    def unclean_bronze(self) -> DataFrame:
+        """Order lines read as records of a terminal that does not validate: zero-based quantities and regions, lower
+        case statuses, discounts net of tax. Feeds the quality rules with rows that break them."""
+        status = F.when(F.col("l_returnflag") == "R", "CANCELADA").when(F.col("l_returnflag") == "A", "CONCLUIDA")
+        linhas = self.lines().withColumns({"loja_id": F.col("loja_id") - 1, "posicao": F.col("l_suppkey")})
+        preco = (F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")) / 100).cast(DINHEIRO)
+        bruto = F.col("l_extendedprice").cast(DINHEIRO)
+        taxa = F.col("l_discount").cast("decimal(4,2)") - F.col("l_tax").cast("decimal(4,2)")
+        return (
+            linhas.join(self.table("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(self.dim_produto().select("produto_id", "custo_base"), F.col("l_partkey") == F.col("produto_id"))
+            .select(
+                F.concat_ws("-", F.lit("VND"), "l_orderkey", "l_linenumber").alias("id_venda"),
+                "loja_id",
+                F.col("o_custkey").alias("cliente_id"),
+                "produto_id",
+                (F.col("l_quantity").cast("int") - 1).alias("quantidade"),
+                preco.alias("valor_unitario"),
+                F.col("custo_base").alias("custo_unitario"),
+                F.round(bruto * taxa, 2).cast(DINHEIRO).alias("desconto_valor"),
+                F.col("data_venda").cast("string").alias("data_venda"),
+                status.otherwise("pendente").alias("status"),
+                "posicao",
+            )
+        )
+
+    def listed_products(self) -> DataFrame:
+        """Catalogue of the quality rules: parts up to size 45 are still listed."""
+        return self.table("part").where("p_size <= 45").select(F.col("p_partkey").alias("produto_id"))
+
     @staticmethod
     def _caminho() -> Column:
         return F.concat(
