@@ -18,8 +18,14 @@ def pct(num: Column, den: Column) -> Column:
     return ratio(num, den) * F.lit(100.0)
 
 
+def rounded(valor: Column, casas: int = 2) -> Column:
+    """Half-up rounding of a floating value. Six decimal places are fixed first, so a binary error in the last digits
+    cannot turn an exact half the wrong way."""
+    return F.round(valor.cast("decimal(38,6)"), casas).cast("double")
+
+
 def pct2(num: Column, den: Column) -> Column:
-    return F.round(pct(num, den), 2)
+    return rounded(pct(num, den))
 
 
 def zero_if_null(col: Column) -> Column:
@@ -28,7 +34,7 @@ def zero_if_null(col: Column) -> Column:
 
 def money(col: Column) -> Column:
     """Half-up rounding to cents."""
-    return F.round(col.cast("decimal(28,10)"), 2).cast("decimal(15,2)")
+    return F.round(col.cast("decimal(38,6)"), 2).cast("decimal(15,2)")
 
 
 def percent_or_zero(num: Column, base: Column) -> Column:
@@ -39,7 +45,7 @@ def percent_or_zero(num: Column, base: Column) -> Column:
 def approval_rate(read: Column, invalid: Column) -> Column:
     """Share of accepted records; an empty run counts as fully approved and the floor is zero."""
     lidos, ruins = F.coalesce(read, F.lit(0)).cast("double"), F.coalesce(invalid, F.lit(0)).cast("double")
-    taxa = F.round(F.greatest(F.lit(0.0), F.try_divide(lidos - ruins, lidos) * 100.0), 2)
+    taxa = rounded(F.greatest(F.lit(0.0), F.try_divide(lidos - ruins, lidos) * 100.0))
     return F.when(lidos <= 0, F.lit(100.0)).otherwise(taxa)
 
 
@@ -148,7 +154,7 @@ def status_tone(status: Column) -> Column:
 
 def one_decimal(col: Column) -> Column:
     """Text with one decimal, rounded half-up."""
-    return F.round(col.cast("decimal(28,10)"), 1).cast("string")
+    return F.round(col.cast("decimal(38,6)"), 1).cast("string")
 
 
 def metric_label(tipo: Column, valor: Column) -> Column:
@@ -160,6 +166,12 @@ def metric_label(tipo: Column, valor: Column) -> Column:
     )
 
 
+def once(df: DataFrame, nome: str, valor: Column) -> DataFrame:
+    """Add a costly column that later filters and projections reuse: the optimizer does not copy an expression out of
+    a generator, so it is evaluated one time per row."""
+    return df.select("*", F.explode(F.array(valor)).alias(nome))
+
+
 def serialize(df: DataFrame) -> DataFrame:
     """Interchange form: decimals as doubles, dates and timestamps as ISO text."""
     saida = []

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from balcao import schemas
+from balcao.functions.columns import once
 from balcao.params import PADRAO, Params
 
 c = F.col
@@ -147,17 +148,13 @@ def checksum(vendas: Column) -> Column:
 
 def check(envelopes: DataFrame) -> DataFrame:
     """Adds ``erros``: names of every failed check. Integrity is judged only when the fields are right."""
-    das_vendas = F.array_distinct(F.flatten(F.transform("vendas", lambda v: failures(sale_rules(v)))))
-    prefixo = F.transform(F.coalesce(das_vendas, F.array().cast("array<string>")), lambda n: F.concat(F.lit("venda."), n))
-    campos = envelopes.withColumn(
-        "_campos",
-        F.when(c("ilegivel"), F.array(F.lit("json_ilegivel"))).otherwise(
-            F.concat(failures(envelope_rules()), prefixo)
-        ),
+    nomes = F.array_distinct(F.flatten(F.transform("vendas", lambda v: failures(sale_rules(v)))))
+    das_vendas = F.transform(F.coalesce(nomes, F.array().cast("array<string>")), lambda n: F.concat(F.lit("venda."), n))
+    campos = F.when(c("ilegivel"), F.array(F.lit("json_ilegivel"))).otherwise(
+        F.concat(failures(envelope_rules()), das_vendas)
     )
-    return campos.withColumn(
-        "erros", F.when(F.size("_campos") > 0, c("_campos")).otherwise(failures(integrity_rules()))
-    ).drop("_campos")
+    erros = F.when(F.size("_campos") > 0, c("_campos")).otherwise(failures(integrity_rules()))
+    return once(once(envelopes, "_campos", campos), "erros", erros).drop("_campos")
 
 
 def accepted(checados: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from balcao import schemas
-from balcao.functions.columns import quality_score
+from balcao.functions.columns import once, quality_score
 
 c = F.col
 _BLOQUEANTES = [nome for nome, severidade in schemas.REGRAS_QUALIDADE if severidade in schemas.SEVERIDADES_BLOQUEANTES]
@@ -46,7 +46,7 @@ def evaluate(bronze: DataFrame, catalogo: DataFrame) -> DataFrame:
     violadas = F.array_compact(
         F.array(*[F.when(~F.coalesce(ok[nome], F.lit(False)), F.lit(nome)) for nome, _ in schemas.REGRAS_QUALIDADE])
     )
-    return marcado.withColumn("regras", violadas).drop("_produto", "_conhecido")
+    return once(marcado, "regras", violadas).drop("_produto", "_conhecido")
 
 
 def is_blocked() -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from balcao.functions.columns import one_decimal, pct
+from balcao.functions.columns import one_decimal, pct, rounded
 from balcao.functions.lineage import write_intermediate
 from balcao.params import PADRAO, Params
 from balcao.plans import forecast, quality_status, snapshots, views
@@ -68,7 +68,7 @@ def _alert(
         titulo.alias("title"),
         descricao.alias("description"),
         F.lit(acao).alias("action"),
-        F.round(valor.cast("double"), 2).alias("metric_value"),
+        rounded(valor.cast("double")).alias("metric_value"),
         F.lit(limite).alias("threshold"),
     )
 

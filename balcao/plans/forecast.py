@@ -17,6 +17,7 @@ from balcao.functions.columns import (
     month_start,
     pct,
     ratio,
+    rounded,
     shift_month,
 )
 from balcao.params import PADRAO, Params
@@ -60,7 +61,7 @@ def store_series(wh: Warehouse) -> DataFrame:
         ),
         views.pct2(c("faturamento") - anterior, anterior).alias("crescimento_mom"),
         ticket.alias("ticket_medio"),
-        F.round(pct(c("margem_bruta"), c("faturamento")), 2).alias("margem_pct"),
+        views.pct2(c("margem_bruta"), c("faturamento")).alias("margem_pct"),
         "dias",
     )
     projecao = ratio(c("receita"), c("dias")) * views.days_in_month(c("ano"), c("mes"))
@@ -80,7 +81,7 @@ def store_series(wh: Warehouse) -> DataFrame:
             F.when(c("receita_orcada") == 0, F.lit(0.0))
             .otherwise(pct(c("receita"), c("receita_orcada")))
             .alias("meta_atingida_pct"),
-            F.coalesce(F.round(projecao, 2), c("receita").cast("double")).alias("forecast_mes"),
+            F.coalesce(rounded(projecao), c("receita").cast("double")).alias("forecast_mes"),
         )
     )
 
@@ -247,12 +248,12 @@ def project_stores(
         "loja_id",
         "loja_nome",
         "passo",
-        F.round("base", 2).alias("forecast_base"),
-        F.round("projetado", 2).alias("forecast_ajustado"),
-        F.round(orcado, 2).alias("receita_orcada"),
-        F.round(c("projetado") - orcado, 2).alias("variacao_orcamento"),
-        F.round(pct(c("projetado"), orcado), 2).alias("meta_atingida_pct"),
-        F.round(c("tendencia") * 100, 2).alias("tendencia_pct"),
+        rounded(c("base")).alias("forecast_base"),
+        rounded(c("projetado")).alias("forecast_ajustado"),
+        rounded(orcado).alias("receita_orcada"),
+        rounded(c("projetado") - orcado).alias("variacao_orcamento"),
+        rounded(pct(c("projetado"), orcado)).alias("meta_atingida_pct"),
+        rounded(c("tendencia") * 100).alias("tendencia_pct"),
     )
 
 
@@ -282,10 +283,10 @@ def project_network(lojas: DataFrame, margem: DataFrame) -> DataFrame:
         "forecast_base",
         "forecast_ajustado",
         "receita_orcada",
-        F.round(c("forecast_ajustado") - c("receita_orcada"), 2).alias("variacao_orcamento"),
-        F.round(pct(c("forecast_ajustado"), c("receita_orcada")), 2).alias("meta_atingida_pct"),
-        F.round(c("forecast_ajustado") * c("margem") / 100, 2).alias("ebitda_estimado"),
-        F.round("margem", 2).alias("margem_ebitda_referencia_pct"),
+        rounded(c("forecast_ajustado") - c("receita_orcada")).alias("variacao_orcamento"),
+        rounded(pct(c("forecast_ajustado"), c("receita_orcada"))).alias("meta_atingida_pct"),
+        rounded(c("forecast_ajustado") * c("margem") / 100).alias("ebitda_estimado"),
+        rounded(c("margem")).alias("margem_ebitda_referencia_pct"),
     )
 
 
@@ -363,11 +364,11 @@ def models(series: DataFrame) -> DataFrame:
     tendencia = F.coalesce(pct(c("inclinacao"), c("ultimo")), F.lit(0.0))
     return fit(numbered(series)).select(
         "serie",
-        F.round("intercepto", 2).alias("intercepto"),
-        F.round("inclinacao", 2).alias("coeficiente_mensal"),
-        F.round(tendencia, 2).alias("tendencia_mensal_pct"),
-        F.round("rmse", 2).alias("rmse"),
-        F.round("r2", 4).alias("r2"),
+        rounded(c("intercepto")).alias("intercepto"),
+        rounded(c("inclinacao")).alias("coeficiente_mensal"),
+        rounded(tendencia).alias("tendencia_mensal_pct"),
+        rounded(c("rmse")).alias("rmse"),
+        rounded(c("r2"), 4).alias("r2"),
         c("n").alias("observacoes_treino"),
     )
 
@@ -386,9 +387,9 @@ def regression_projection(series: DataFrame, ultima: DataFrame, meses: int, para
             "serie",
             "passo",
             shift_month(c("ultima"), c("passo")).alias("competencia"),
-            F.round("previsto", 2).alias("previsao"),
-            F.round(F.greatest(F.lit(0.0), c("previsto") - c("margem")), 2).alias("limite_inferior"),
-            F.round(c("previsto") + c("margem"), 2).alias("limite_superior"),
+            rounded(c("previsto")).alias("previsao"),
+            rounded(F.greatest(F.lit(0.0), c("previsto") - c("margem"))).alias("limite_inferior"),
+            rounded(c("previsto") + c("margem")).alias("limite_superior"),
         )
     )
 
@@ -406,10 +407,10 @@ def backtest(series: DataFrame) -> DataFrame:
         .select(
             "serie",
             "competencia",
-            F.round("realizado", 2).alias("realizado"),
-            F.round("previsto", 2).alias("previsto"),
-            F.round(erro, 2).alias("erro_absoluto"),
-            F.round(pct(F.abs(erro), c("realizado")), 2).alias("erro_percentual_abs"),
+            rounded(c("realizado")).alias("realizado"),
+            rounded(c("previsto")).alias("previsto"),
+            rounded(erro).alias("erro_absoluto"),
+            rounded(pct(F.abs(erro), c("realizado"))).alias("erro_percentual_abs"),
         )
     )
 

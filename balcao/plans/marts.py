@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from balcao.functions.columns import days_in_month, month_label, pct, pct2, ratio
+from balcao.functions.columns import days_in_month, month_label, pct, pct2, ratio, rounded
 from balcao.functions.lineage import write_intermediate
 from balcao.operators.ranking import spread_rank
 from balcao.params import PADRAO, Params
@@ -34,7 +34,7 @@ def kpi_summary(silver: DataFrame) -> DataFrame:
         .withColumns(
             {
                 "competencia": month_label(F.col("ano"), F.col("mes")),
-                "ticket_medio": F.round(ratio(F.col("faturamento_total"), F.col("total_pedidos")), 2),
+                "ticket_medio": rounded(ratio(F.col("faturamento_total"), F.col("total_pedidos"))),
                 "margem_bruta_pct": pct2(F.col("margem_bruta"), F.col("faturamento_total")),
             }
         )
@@ -56,7 +56,7 @@ def kpi_stores(silver: DataFrame) -> DataFrame:
         .withColumns(
             {
                 "competencia": month_label(F.col("ano"), F.col("mes")),
-                "ticket_medio": F.round(ratio(F.col("faturamento"), F.col("pedidos")), 2),
+                "ticket_medio": rounded(ratio(F.col("faturamento"), F.col("pedidos"))),
                 "market_share_pct": pct2(F.col("faturamento"), F.sum("faturamento").over(mes)),
                 "ranking_receita": F.dense_rank().over(mes.orderBy(F.col("faturamento").desc())),
                 "margem_bruta_pct": pct2(F.col("margem_bruta"), F.col("faturamento")),
@@ -176,11 +176,11 @@ def fpa_indicators(orcamento: DataFrame, totais: DataFrame, params: Params = PAD
         "dias_com_venda",
         F.round(c("receita_realizada") - c("receita_orcada"), 2).alias("variacao_absoluta"),
         pct2(c("receita_realizada") - c("receita_orcada"), c("receita_orcada")).alias("variacao_percentual"),
-        F.round(atingido * 100.0, 2).alias("meta_atingida_pct"),
-        F.round(ratio(c("receita_realizada"), dias), 2).alias("media_diaria"),
-        F.round(previsao, 2).alias("forecast_mes"),
-        F.round(previsao * 12, 2).alias("run_rate_anual"),
-        F.round(margem, 2).alias("margem_bruta_pct_realizada"),
+        rounded(atingido * 100.0).alias("meta_atingida_pct"),
+        rounded(ratio(c("receita_realizada"), dias)).alias("media_diaria"),
+        rounded(previsao).alias("forecast_mes"),
+        rounded(previsao * 12).alias("run_rate_anual"),
+        rounded(margem).alias("margem_bruta_pct_realizada"),
         posicao(c("receita_realizada")).alias("ranking_receita"),
         posicao(margem).alias("ranking_margem"),
         posicao(atingido * 100.0).alias("ranking_meta"),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
-from balcao.functions.columns import days_in_month, pct, pct2, ratio, traffic_light
+from balcao.functions.columns import days_in_month, pct, pct2, ratio, rounded, traffic_light
 from balcao.functions.lineage import write_intermediate
 from balcao.operators.ranking import spread_rank
 from balcao.sources.warehouse import Warehouse
@@ -83,7 +83,7 @@ def store_ranking(wh: Warehouse) -> DataFrame:
             *CHAVE,
             "loja_nome",
             c("faturamento").alias("receita"),
-            F.round(margem, 2).alias("margem_pct"),
+            rounded(margem).alias("margem_pct"),
             pct2(c("faturamento"), c("receita_orcada")).alias("meta_atingida_pct"),
             month_rank(c("faturamento")).alias("ranking_receita"),
             month_rank(margem).alias("ranking_margem"),
@@ -150,8 +150,8 @@ def fpa_view(wh: Warehouse) -> DataFrame:
             c("faturamento").alias("realizado"),
             "receita_orcada",
             pct2(c("faturamento"), c("receita_orcada")).alias("meta_atingida_pct"),
-            F.round(previsao, 2).alias("forecast_mes"),
-            F.round(previsao * 12, 2).alias("run_rate_anual"),
+            rounded(previsao).alias("forecast_mes"),
+            rounded(previsao * 12).alias("run_rate_anual"),
         )
     )
 

@@ -60,13 +60,12 @@ def parse(textos: DataFrame) -> DataFrame:
     """Envelope fields as text next to the origin columns; unreadable JSON is kept and marked."""
     esquema = T.StructType([*ENVELOPE_RAW.fields, T.StructField(CORROMPIDO, T.StringType())])
     opcoes = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORROMPIDO}
-    lido = textos.withColumn("_e", F.from_json("value", esquema, opcoes)).drop("value")
-    vazio = c("_e").isNull() | F.forall(
-        F.array(*[c(f"_e.{campo}") for campo in CAMPOS_ENVELOPE]), lambda x: x.isNull()
-    )
-    return lido.withColumn("ilegivel", c(f"_e.{CORROMPIDO}").isNotNull() | (vazio & c("_e.vendas").isNull())).select(
-        *[col for col in lido.columns if col != "_e"], "ilegivel", *[f"_e.{f.name}" for f in ENVELOPE_RAW.fields]
+    # Generated rather than projected, so that one parse serves all fields.
+    lido = textos.select(
+        *[col for col in textos.columns if col != "value"], F.inline_outer(F.array(F.from_json("value", esquema, opcoes)))
     )
+    vazio = F.coalesce(*CAMPOS_ENVELOPE).isNull() & c("vendas").isNull()
+    return lido.withColumn("ilegivel", c(CORROMPIDO).isNotNull() | vazio).drop(CORROMPIDO)
 
 
 def store_list(spark: SparkSession, lojas: Sequence[int] = LOJAS) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from balcao.functions.columns import calendar_columns
+from balcao.functions.columns import calendar_columns, money
 from balcao.functions.labels import relabel
 from balcao.functions.lineage import write_intermediate
 from balcao.operators.silver import financial_columns, keep_last
@@ -83,7 +83,7 @@ class SampleStar(Warehouse):
                 "quantidade": F.col("l_quantity").cast("int"),
                 "valor_unitario": (F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")) / 100).cast(DINHEIRO),
                 "desconto_percentual": (F.col("l_discount") * 100).cast("decimal(5,2)"),
-                "forma_pagamento": F.col("l_linestatus"),
+                "forma_pagamento": F.when(F.col("l_linestatus") == "F", "CARTAO").otherwise("PIX"),
                 "parcelas": F.col("l_linenumber"),
                 "vendedor_id": F.concat_ws("-", F.lit("VND"), "l_suppkey"),
                 "cidade": F.col("loja_nome"),
@@ -126,15 +126,15 @@ class SampleStar(Warehouse):
         df = calendar_columns(financial_columns(self.sales(self.unique_lines(), pedidas)))
         return df.select(*colunas)
 
-    def bronze(self) -> DataFrame:
-        """All 22 sale fields plus lineage for every order line, repeated keys kept."""
-        campos = _DE_PEDIDO | _DE_PRODUTO
-        df = self.sales(self.lines(), campos)
+    def bronze(self, *colunas: str) -> DataFrame:
+        """Every order line as a sale with lineage, repeated keys kept; all 22 fields unless columns are named."""
+        df = self.sales(self.lines(), set(colunas) or _DE_PEDIDO | _DE_PRODUTO)
         return df.withColumns(
             {
                 "arquivo_origem": self._caminho(),
                 "posicao": F.col("l_suppkey").cast("int"),
                 "data": F.to_date("data_venda"),
+                "pipeline_id": F.lit("00000000-0000-0000-0000-000000000000"),
             }
         )
 
@@ -211,7 +211,7 @@ class SampleStar(Warehouse):
         p = self.params
         media = F.sum("faturamento").cast("double") / F.count("*")
         fator = (F.lit(80) + F.col("loja_id") * 10) / F.lit(100.0)
-        receita = F.round(media * fator, 2).cast("decimal(15,2)")
+        receita = money(media * fator)
         return (
             self.loja_mes()
             .groupBy("loja_id", "ano")
@@ -233,9 +233,7 @@ class SampleStar(Warehouse):
             self.loja_mes()
             .groupBy("loja_id")
             .agg(
-                F.round(F.sum("faturamento").cast("double") / F.count("*") * 0.05, 2)
-                .cast("decimal(15,2)")
-                .alias("despesas_fixas")
+                money(F.sum("faturamento").cast("double") / F.count("*") * 0.05).alias("despesas_fixas")
             )
             .withColumn("depreciacao", F.lit("2500.00").cast("decimal(15,2)"))
         )

@@ -33,7 +33,7 @@ SELECT 'VND-' || l_orderkey || '-' || l_linenumber AS id_venda, l_orderkey, l_li
             WHEN hour(data_venda) BETWEEN 18 AND 22 THEN 'NOITE' ELSE 'MADRUGADA' END AS periodo,
        CASE WHEN hour(data_venda) < 12 THEN 'MANHA' WHEN hour(data_venda) < 18 THEN 'TARDE' ELSE 'NOITE' END AS turno,
        l_partkey AS produto_id, p_name AS produto_nome, p_type AS categoria, p_brand AS subcategoria,
-       o_custkey AS cliente_id, o_orderpriority AS canal_venda, l_linestatus AS forma_pagamento,
+       o_custkey AS cliente_id, o_orderpriority AS canal_venda, CASE l_linestatus WHEN 'F' THEN 'CARTAO' ELSE 'PIX' END AS forma_pagamento,
        CAST(l_quantity AS INTEGER) AS quantidade,
        CAST(floor(l_extendedprice * 100 / l_quantity) / 100 AS DECIMAL(12,2)) AS valor_unitario,
        CAST(ROUND(CAST(p_retailprice AS DECIMAL(12,2)) * CAST(1.6 AS DECIMAL(2,1)), 2) AS DECIMAL(12,2))
@@ -50,7 +50,7 @@ _VALORES = """
 SELECT v.*, valor_bruto - desconto_valor AS valor_liquido,
        valor_bruto - desconto_valor - custo_total AS margem_bruta,
        CASE WHEN valor_bruto > 0
-            THEN ROUND(CAST(desconto_valor AS DOUBLE) / CAST(valor_bruto AS DOUBLE) * 100, 2) ELSE 0 END AS desconto_pct
+            THEN R2(CAST(desconto_valor AS DOUBLE) / CAST(valor_bruto AS DOUBLE) * 100) ELSE 0 END AS desconto_pct
 FROM (SELECT b.*, CAST(quantidade * valor_unitario AS DECIMAL(12,2)) AS valor_bruto,
              CAST(quantidade * custo_unitario AS DECIMAL(12,2)) AS custo_total,
              CAST(ROUND(CAST(quantidade * valor_unitario AS DECIMAL(12,2)) * taxa, 2) AS DECIMAL(12,2)) AS desconto_valor
@@ -90,13 +90,13 @@ FROM fato GROUP BY ano, mes, loja_id
 
 PARTES["orcamento"] = """
 SELECT loja_id, ano, CAST(m AS INTEGER) AS mes, receita_orcada FROM (
-  SELECT loja_id, ano, CAST(ROUND(CAST(SUM(faturamento) AS DOUBLE) / COUNT(*)
-           * ((80 + 10 * loja_id) / CAST(100 AS DOUBLE)), 2) AS DECIMAL(15,2)) AS receita_orcada
+  SELECT loja_id, ano, CAST(R2(CAST(SUM(faturamento) AS DOUBLE) / COUNT(*)
+           * ((80 + 10 * loja_id) / CAST(100 AS DOUBLE))) AS DECIMAL(15,2)) AS receita_orcada
   FROM loja_mes GROUP BY loja_id, ano) o, generate_series(1, 12) t(m)
 """
 
 PARTES["dre_loja"] = """
-SELECT loja_id, CAST(ROUND(CAST(SUM(faturamento) AS DOUBLE) / COUNT(*) * CAST(0.05 AS DOUBLE), 2) AS DECIMAL(15,2))
+SELECT loja_id, CAST(R2(CAST(SUM(faturamento) AS DOUBLE) / COUNT(*) * CAST(0.05 AS DOUBLE)) AS DECIMAL(15,2))
          AS despesas_fixas, CAST(2500 AS DECIMAL(15,2)) AS depreciacao
 FROM loja_mes GROUP BY loja_id
 """
@@ -123,8 +123,12 @@ def pct(num: str, den: str) -> str:
     return f"(CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0) * 100)"
 
 
+def rounded(valor: str, casas: int = 2) -> str:
+    return f"CAST(ROUND(CAST({valor} AS DECIMAL(38,6)), {casas}) AS DOUBLE)"
+
+
 def pct2(num: str, den: str) -> str:
-    return f"ROUND({pct(num, den)}, 2)"
+    return rounded(pct(num, den))
 
 
 PARTES["dre"] = f"""
@@ -208,7 +212,7 @@ JOIN dim_loja USING (loja_id)
 """
 
 PARTES["v4"] = f"""
-SELECT ano, mes, loja_id, loja_nome, faturamento AS receita, ROUND(margem, 2) AS margem_pct,
+SELECT ano, mes, loja_id, loja_nome, faturamento AS receita, R2(margem) AS margem_pct,
        {pct2("faturamento", "receita_orcada")} AS meta_atingida_pct,
        CAST(RANK() OVER (PARTITION BY ano, mes ORDER BY faturamento DESC) AS INTEGER) AS ranking_receita,
        CAST(RANK() OVER (PARTITION BY ano, mes ORDER BY margem DESC) AS INTEGER) AS ranking_margem
@@ -240,8 +244,8 @@ FROM dre GROUP BY ano, mes
 PARTES["v7"] = f"""
 SELECT ano, mes, loja_id, faturamento AS realizado, receita_orcada,
        {pct2("faturamento", "receita_orcada")} AS meta_atingida_pct,
-       ROUND(CAST(faturamento AS DOUBLE) / dias * day(last_day(make_date(ano, mes, 1))), 2) AS forecast_mes,
-       ROUND(CAST(faturamento AS DOUBLE) / dias * day(last_day(make_date(ano, mes, 1))) * 12, 2) AS run_rate_anual
+       R2(CAST(faturamento AS DOUBLE) / dias * day(last_day(make_date(ano, mes, 1)))) AS forecast_mes,
+       R2(CAST(faturamento AS DOUBLE) / dias * day(last_day(make_date(ano, mes, 1))) * 12) AS run_rate_anual
 FROM loja_mes JOIN orcamento USING (loja_id, ano, mes)
 """
 
@@ -312,9 +316,9 @@ GROUP BY loja_id
 """
 
 PARTES["gerencial"] = f"""
-SELECT competencia, loja_id, loja_nome, passo, ROUND(base, 2) AS forecast_base, ROUND(ajustado, 2) AS forecast_ajustado,
-       ROUND(orcado, 2) AS receita_orcada, ROUND(ajustado - orcado, 2) AS variacao_orcamento,
-       {pct2("ajustado", "orcado")} AS meta_atingida_pct, ROUND(tendencia * 100, 2) AS tendencia_pct
+SELECT competencia, loja_id, loja_nome, passo, R2(base) AS forecast_base, R2(ajustado) AS forecast_ajustado,
+       R2(orcado) AS receita_orcada, R2(ajustado - orcado) AS variacao_orcamento,
+       {pct2("ajustado", "orcado")} AS meta_atingida_pct, R2(tendencia * 100) AS tendencia_pct
 FROM (
   SELECT strftime(futuro, '%Y-%m') AS competencia, a.loja_id, loja_nome, passo, tendencia,
          valor_base * POW(1 + tendencia, decorridos) AS base,
@@ -354,15 +358,15 @@ SELECT 0 AS serie, 'Rede' AS entidade UNION ALL SELECT loja_id, loja_nome FROM d
 """
 
 PARTES["modelos"] = """
-SELECT serie, entidade, ROUND(intercepto, 2) AS intercepto, ROUND(inclinacao, 2) AS coeficiente_mensal,
-       ROUND(COALESCE(inclinacao / NULLIF(ultimo, 0) * 100, 0), 2) AS tendencia_mensal_pct, ROUND(rmse, 2) AS rmse,
-       ROUND(r2, 4) AS r2, n AS observacoes_treino
+SELECT serie, entidade, R2(intercepto) AS intercepto, R2(inclinacao) AS coeficiente_mensal,
+       R2(COALESCE(inclinacao / NULLIF(ultimo, 0) * 100, 0)) AS tendencia_mensal_pct, R2(rmse) AS rmse,
+       CAST(ROUND(CAST(r2 AS DECIMAL(38,6)), 4) AS DOUBLE) AS r2, n AS observacoes_treino
 FROM ajuste JOIN entidades USING (serie)
 """
 
 PARTES["ml"] = """
-SELECT serie, entidade, passo, competencia, ROUND(previsto, 2) AS previsao,
-       ROUND(GREATEST(0, previsto - margem), 2) AS limite_inferior, ROUND(previsto + margem, 2) AS limite_superior
+SELECT serie, entidade, passo, competencia, R2(previsto) AS previsao,
+       R2(GREATEST(0, previsto - margem)) AS limite_inferior, R2(previsto + margem) AS limite_superior
 FROM (
   SELECT serie, entidade, CAST(passo AS INTEGER) AS passo,
          strftime(ultima + to_months(CAST(passo AS INTEGER)), '%Y-%m') AS competencia,
@@ -372,8 +376,8 @@ FROM (
 """
 
 PARTES["teste"] = f"""
-SELECT serie, entidade, competencia, ROUND(y, 2) AS realizado, ROUND(previsto, 2) AS previsto,
-       ROUND(previsto - y, 2) AS erro_absoluto, {pct2("abs(previsto - y)", "y")} AS erro_percentual_abs
+SELECT serie, entidade, competencia, R2(y) AS realizado, R2(previsto) AS previsto,
+       R2(previsto - y) AS erro_absoluto, {pct2("abs(previsto - y)", "y")} AS erro_percentual_abs
 FROM (
   SELECT p.serie, entidade, p.competencia, p.y, GREATEST(0, t.a + t.b * p.x) AS previsto
   FROM pontos p JOIN entidades USING (serie)
@@ -390,9 +394,9 @@ FROM (SELECT COALESCE(margem_ebitda_pct, 0) AS margem_ebitda_pct FROM (SELECT DI
 
 PARTES["gerencial_rede"] = f"""
 SELECT competencia, passo, forecast_base, forecast_ajustado, receita_orcada,
-       ROUND(forecast_ajustado - receita_orcada, 2) AS variacao_orcamento,
+       R2(forecast_ajustado - receita_orcada) AS variacao_orcamento,
        {pct2("forecast_ajustado", "receita_orcada")} AS meta_atingida_pct,
-       ROUND(forecast_ajustado * margem / 100, 2) AS ebitda_estimado, ROUND(margem, 2) AS margem_ebitda_referencia_pct
+       R2(forecast_ajustado * margem / 100) AS ebitda_estimado, R2(margem) AS margem_ebitda_referencia_pct
 FROM (SELECT competencia, passo, CAST(SUM(CAST(forecast_base AS DECIMAL(18,2))) AS DOUBLE) AS forecast_base,
              CAST(SUM(CAST(forecast_ajustado AS DECIMAL(18,2))) AS DOUBLE) AS forecast_ajustado,
              CAST(SUM(CAST(receita_orcada AS DECIMAL(18,2))) AS DOUBLE) AS receita_orcada
@@ -401,7 +405,7 @@ FROM (SELECT competencia, passo, CAST(SUM(CAST(forecast_base AS DECIMAL(18,2)))
 
 # Quality status
 
-_TAXA = """CASE WHEN COALESCE({l}, 0) <= 0 THEN 100 ELSE ROUND(GREATEST(0, (CAST({l} AS DOUBLE) - {i}) / {l} * 100), 2) END"""
+_TAXA = """CASE WHEN COALESCE({l}, 0) <= 0 THEN 100 ELSE R2(GREATEST(0, (CAST({l} AS DOUBLE) - {i}) / {l} * 100)) END"""
 
 
 def aprovacao(lidos: str, ruins: str) -> str:
@@ -446,6 +450,17 @@ FROM (
 """
 
 
+def expand(texto: str) -> str:
+    """``R2(x)`` is short for rounding a floating value to cents."""
+    while (inicio := texto.find("R2(")) >= 0:
+        fim, nivel = inicio + 3, 1
+        while nivel:
+            nivel += {"(": 1, ")": -1}.get(texto[fim], 0)
+            fim += 1
+        texto = texto[:inicio] + rounded(texto[inicio + 3 : fim - 1]) + texto[fim:]
+    return texto
+
+
 def sql(corpo: str) -> str:
     """``corpo`` with every named subquery it needs, in dependency order."""
     ordem: list[str] = []
@@ -457,9 +472,8 @@ def sql(corpo: str) -> str:
                 ordem.append(nome)
 
     visitar(corpo)
-    if not ordem:
-        return corpo
-    return "WITH " + ",\n".join(f"{n} AS ({PARTES[n].strip()})" for n in ordem) + "\n" + corpo.strip()
+    partes = ",\n".join(f"{n} AS ({PARTES[n].strip()})" for n in ordem)
+    return expand(f"WITH {partes}\n{corpo.strip()}" if ordem else corpo)
 
 
 def iso_date(coluna: str) -> str:

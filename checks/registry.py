@@ -189,7 +189,7 @@ add(
     "CAST(SUM(valor_liquido) AS DOUBLE) AS faturamento_total, CAST(SUM(valor_bruto) AS DOUBLE) AS receita_bruta, "
     "CAST(SUM(desconto_valor) AS DOUBLE) AS desconto_total, CAST(SUM(quantidade) AS BIGINT) AS quantidade_total, "
     "COUNT(DISTINCT id_venda) AS total_pedidos, CAST(SUM(margem_bruta) AS DOUBLE) AS margem_bruta, "
-    "ROUND(CAST(SUM(valor_liquido) AS DOUBLE) / COUNT(DISTINCT id_venda), 2) AS ticket_medio, "
+    "R2(CAST(SUM(valor_liquido) AS DOUBLE) / COUNT(DISTINCT id_venda)) AS ticket_medio, "
     f"{pct2('SUM(margem_bruta)', 'SUM(valor_liquido)')} AS margem_bruta_pct FROM concluidas GROUP BY ano, mes",
 )
 add(
@@ -197,7 +197,7 @@ add(
     lambda wh: marts.kpi_stores(wh.fato(*KPI, "loja_id", "loja_nome")),
     "SELECT ano, mes, loja_id, loja_nome, strftime(make_date(ano, mes, 1), '%Y-%m') AS competencia, "
     f"{dbl('faturamento', 'margem_bruta')}, pedidos, CAST(quantidade AS BIGINT) AS quantidade, "
-    "ROUND(CAST(faturamento AS DOUBLE) / pedidos, 2) AS ticket_medio, "
+    "R2(CAST(faturamento AS DOUBLE) / pedidos) AS ticket_medio, "
     f"{pct2('faturamento', 'SUM(faturamento) OVER (PARTITION BY ano, mes)')} AS market_share_pct, "
     "CAST(DENSE_RANK() OVER (PARTITION BY ano, mes ORDER BY faturamento DESC) AS INTEGER) AS ranking_receita, "
     f"{pct2('margem_bruta', 'faturamento')} AS margem_bruta_pct FROM loja_mes JOIN dim_loja USING (loja_id)",
@@ -241,9 +241,9 @@ add(
     f"{dbl('receita_realizada', 'margem_bruta')}, dias_com_venda, "
     "CAST(receita_realizada - receita_orcada AS DOUBLE) AS variacao_absoluta, "
     f"{pct2('receita_realizada - receita_orcada', 'receita_orcada')} AS variacao_percentual, "
-    f"ROUND({_ATING} * 100, 2) AS meta_atingida_pct, ROUND({_DIARIA}, 2) AS media_diaria, "
-    f"ROUND({_PREV}, 2) AS forecast_mes, ROUND({_PREV} * 12, 2) AS run_rate_anual, "
-    f"ROUND({_MARGEM}, 2) AS margem_bruta_pct_realizada, {_posicao(_REAL, 'ranking_receita')}, "
+    f"R2({_ATING} * 100) AS meta_atingida_pct, R2({_DIARIA}) AS media_diaria, "
+    f"R2({_PREV}) AS forecast_mes, R2({_PREV} * 12) AS run_rate_anual, "
+    f"R2({_MARGEM}) AS margem_bruta_pct_realizada, {_posicao(_REAL, 'ranking_receita')}, "
     f"{_posicao(_MARGEM, 'ranking_margem')}, {_posicao(_ATING + ' * 100', 'ranking_meta')}, "
     f"CASE WHEN {_ATING} < 0.80 THEN 'VERMELHO' WHEN {_ATING} < 0.95 THEN 'AMARELO' ELSE 'VERDE' END AS status_semaforo "
     "FROM (SELECT o.loja_id, o.ano, o.mes, o.receita_orcada, COALESCE(m.faturamento, 0) AS receita_realizada, "
@@ -271,12 +271,12 @@ _CONTAGENS = (
     "COUNT(DISTINCT id_venda) FILTER (WHERE status = 'CONCLUIDA') AS pedidos, "
     "COUNT(*) FILTER (WHERE status = 'CANCELADA') AS canceladas, COUNT(*) FILTER (WHERE status = 'PENDENTE') AS pendentes"
 )
-_TICKET = "COALESCE(receita_liquida / NULLIF(pedidos, 0), 0) AS ticket_medio"
+_TICKET = "COALESCE(v.receita_liquida / NULLIF(v.pedidos, 0), 0) AS ticket_medio"
 add(
     "M1_resumo_do_mes",
     lambda wh: snapshots.overview(wh, ANO, MES),
-    f"SELECT *, {_TICKET}, CASE WHEN receita_liquida > 0 THEN ROUND(margem_bruta / receita_liquida * 100, 2) ELSE 0 END "
-    f"AS margem_pct FROM (SELECT {_SOMAS}, {_CONTAGENS} FROM fato {DO_MES})",
+    f"SELECT *, {_TICKET}, CASE WHEN receita_liquida > 0 THEN R2(margem_bruta / receita_liquida * 100) ELSE 0 END "
+    f"AS margem_pct FROM (SELECT {_SOMAS}, {_CONTAGENS} FROM fato {DO_MES}) v",
 )
 add(
     "M2_dre_do_mes",
@@ -579,7 +579,7 @@ add(
 
 # Alerts
 
-_UM = "CAST(ROUND(CAST({v} AS DECIMAL(28,10)), 1) AS VARCHAR)"
+_UM = "CAST(ROUND(CAST({v} AS DECIMAL(38,6)), 1) AS VARCHAR)"
 
 
 def _um(valor: str) -> str:
@@ -593,7 +593,7 @@ def _alerta(
     return (
         f"SELECT {regra} AS regra, {sequencia} AS sequencia, '{tipo}' AS type, {severidade} AS severity, "
         f"{entidade} AS entity, {loja} AS loja_id, {titulo} AS title, {descricao} AS description, '{acao}' AS action, "
-        f"ROUND(CAST({valor} AS DOUBLE), 2) AS metric_value, '{limite}' AS threshold FROM {origem}"
+        f"R2(CAST({valor} AS DOUBLE)) AS metric_value, '{limite}' AS threshold FROM {origem}"
     )
 
 
@@ -742,7 +742,7 @@ add(
     ),
     "SELECT posicao, CASE WHEN metric_value IS NULL THEN 'Monitoramento' "
     "WHEN type IN ('META','RECEITA','MARGEM','CANCELAMENTO','FORECAST') THEN format('{:,.2f}', metric_value) || '%' "
-    f"ELSE format('{{:,.0f}}', metric_value) END AS rotulo FROM ({_CENTRAL})".replace("'{:,.2f}'", "'{:,.2f}'"),
+    f"ELSE format('{{:,.0f}}', metric_value) END AS rotulo FROM ({_CENTRAL})",
 )
 add(
     "K8_sem_alertas",
@@ -768,7 +768,7 @@ add(
         "desconto_pct_calc",
     ),
     f"SELECT id_venda, loja_id, {dbl('valor_bruto', 'valor_liquido', 'custo_total', 'margem_bruta')}, "
-    "CASE WHEN valor_liquido > 0 THEN ROUND(CAST(margem_bruta AS DOUBLE) / CAST(valor_liquido AS DOUBLE) * 100, 2) "
+    "CASE WHEN valor_liquido > 0 THEN R2(CAST(margem_bruta AS DOUBLE) / CAST(valor_liquido AS DOUBLE) * 100) "
     "ELSE 0 END AS margem_bruta_pct, CAST(desconto_pct AS DOUBLE) AS desconto_pct_calc FROM fato",
 )
 _CALENDARIO = (
@@ -793,7 +793,7 @@ add(
 )
 add(
     "B8_duplicatas_removidas",
-    lambda wh: silver.removed_duplicates(wh.bronze().select("id_venda", "loja_id")),
+    lambda wh: silver.removed_duplicates(wh.bronze("id_venda", "loja_id")),
     "SELECT COUNT(*) AS registros_entrada, COUNT(DISTINCT (id_venda, loja_id)) AS registros_unicos, "
     "COUNT(*) - COUNT(DISTINCT (id_venda, loja_id)) AS duplicatas_removidas FROM bronze",
 )
@@ -807,7 +807,8 @@ def _silver(wh: SampleStar) -> silver.Silver:
         F.lpad((c("l_extendedprice") * 100).cast("long").cast("string"), 20, "0"),
         F.lpad((c("l_discount") * 100).cast("int").cast("string"), 4, "0"), c("l_returnflag"), c("l_linestatus"),
     )
-    bronze = wh.bronze().withColumns({"arquivo_origem": ordem, "cliente_segmento": F.lit(" varejo ")})
+    campos = ("status", "custo_unitario")
+    bronze = wh.bronze(*campos).withColumns({"arquivo_origem": ordem, "cliente_segmento": F.lit(" varejo ")})
     return silver.to_silver(bronze.withColumn("status", F.lower("status")), PADRAO.instante)
 
 
@@ -933,22 +934,14 @@ add(
     lambda wh: quality.report(_evaluated(wh)).drop("por_regra"),
     "SELECT COUNT(*) AS total_registros, COUNT(*) FILTER (WHERE bloqueada) AS registros_invalidos, "
     "COUNT(*) FILTER (WHERE NOT bloqueada) AS registros_validos, "
-    "ROUND(CAST(COUNT(*) FILTER (WHERE NOT bloqueada) AS DOUBLE) / COUNT(*) * 100, 2) AS taxa_aprovacao "
+    "R2(CAST(COUNT(*) FILTER (WHERE NOT bloqueada) AS DOUBLE) / COUNT(*) * 100) AS taxa_aprovacao "
     f"FROM {_AVALIADAS}",
 )
 
 # Raw envelopes: the sample's sales packed as terminal files, then read back through the input contract
 
-_CLIENTE = "cliente_nome", "cliente_segmento"
-
-
-def _sales(wh: SampleStar) -> DataFrame:
-    df = wh.bronze().join(wh.dim_cliente(), "cliente_id", "left")
-    return df.withColumnRenamed("segmento", "cliente_segmento")
-
-
 def _envelopes(wh: SampleStar) -> DataFrame:
-    return export.package(_sales(wh), PADRAO.instante)
+    return export.package(wh.bronze(), PADRAO.instante)
 
 
 def _texts(wh: SampleStar) -> DataFrame:
@@ -1023,13 +1016,13 @@ _RECIBO = (
 )
 add(
     "E15_totais_do_turno",
-    lambda wh: export.shift_totals(wh.bronze()),
+    lambda wh: export.shift_totals(wh.bronze("status")),
     f"SELECT loja_id, strftime(bronze.data, '%Y-%m-%d') AS data, turno, {_RECIBO} FROM bronze "
     "GROUP BY loja_id, bronze.data, turno",
 )
 add(
     "E16_fechamento_do_dia",
-    lambda wh: export.day_closing(wh.bronze()),
+    lambda wh: export.day_closing(wh.bronze("status")),
     f"SELECT loja_id, strftime(bronze.data, '%Y-%m-%d') AS data, turno, 'TURNO' AS nivel, CAST(1 AS BIGINT) AS arquivos, "
     f"{_RECIBO} FROM bronze GROUP BY loja_id, bronze.data, turno UNION ALL "
     "SELECT CAST(NULL AS INTEGER), strftime(bronze.data, '%Y-%m-%d'), CAST(NULL AS VARCHAR), 'DIA', "
@@ -1038,7 +1031,7 @@ add(
 add(
     "E13_registros_por_arquivo",
     lambda wh: load.file_row_counts(
-        wh.bronze().withColumn("arquivo_checksum", F.when(c("status") != "CANCELADA", c("turno_origem")))
+        wh.bronze("status").withColumn("arquivo_checksum", F.when(c("status") != "CANCELADA", c("turno_origem")))
     ),
     "SELECT 'raw/vendas/loja=loja_' || loja_id || strftime(data, '/ano=%Y/mes=%m/dia=%d/vendas_') || loja_id "
     "|| strftime(data, '_%Y%m%d_') || lower(turno) || '.json' AS arquivo_origem, "
@@ -1057,7 +1050,7 @@ _PRIMEIRAS = (
 def _versions(wh: SampleStar) -> tuple[DataFrame, DataFrame]:
     """First and last version of every repeated sale: a first load and its correction."""
     colunas = ("id_venda", "loja_id", "data_venda", "quantidade", "valor_bruto", "valor_liquido", "margem_bruta", "status")
-    vendas = silver.financial_columns(wh.bronze())
+    vendas = silver.financial_columns(wh.bronze("status", "custo_unitario"))
     chave = ("l_orderkey", "l_linenumber", "loja_id")
     ordem = ("data_venda", "l_suppkey", "produto_id", "quantidade", "valor_bruto", "desconto_valor", "status")
     primeira = silver.keep_last(vendas, chave, [c(o).asc() for o in ordem])
@@ -1091,7 +1084,7 @@ def load_counts(wh: SampleStar) -> DataFrame:
 
 add(
     "L2_clientes",
-    lambda wh: load.customers(_sales(wh).withColumn("posicao", c("l_linenumber"))),
+    lambda wh: load.customers(wh.bronze()),
     "SELECT cliente_id, cliente_nome, segmento FROM dim_cliente WHERE cliente_id IN (SELECT cliente_id FROM bronze)",
 )
 _DIM_TEMPO = (
