@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 from balcao.functions.columns import calendar_columns, percent_or_zero
 from balcao.functions.labels import ROTULOS, normalize_labels
 from balcao.params import PADRAO, Params
-from balcao.schemas import DINHEIRO, FATO_CHAVE
+from balcao.schemas import BRONZE, DINHEIRO, FATO_CHAVE
 
 
 def lower_names(df: DataFrame) -> DataFrame:
@@ -97,6 +97,12 @@ def to_silver(bronze: DataFrame, instante: datetime, params: Params = PADRAO) ->
     return Silver(ativas, tratadas.where("status = 'CANCELADA'"))
 
 
+def silver_schema(spark: SparkSession) -> T.StructType:
+    """Schema of the Silver tables, taken from the plan itself."""
+    vazio = spark.createDataFrame([], T.StructType([*BRONZE.fields, T.StructField("data_referencia", T.DateType())]))
+    return to_silver(vazio, datetime(2026, 1, 1)).ativas.schema
+
+
 def removed_duplicates(bronze: DataFrame) -> DataFrame:
     """Rows in, distinct keys and rows removed, as one row."""
     return (

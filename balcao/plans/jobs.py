@@ -115,7 +115,8 @@ class Job:
 
     def silver_months(self, dias: Sequence[date]) -> DataFrame:
         """Active Silver rows of the touched months: a partition filter on the reference date."""
-        return self.lake.read("silver/vendas").where(self._months(sorted({(d.year, d.month) for d in dias})))
+        meses = sorted({(d.year, d.month) for d in dias})
+        return self.lake.read("silver/vendas", silver.silver_schema(self.spark)).where(self._months(meses))
 
     @staticmethod
     def _months(meses: Sequence[tuple[int, int]]):
@@ -123,7 +124,7 @@ class Job:
         return numero.isin([a * 100 + m for a, m in meses])
 
     def read_month(self, ano: int, mes: int) -> DataFrame:
-        linhas = self.lake.read("silver/vendas").where(self._months([(ano, mes)]))
+        linhas = self.lake.read("silver/vendas", silver.silver_schema(self.spark)).where(self._months([(ano, mes)]))
         if linhas.isEmpty():
             raise FileNotFoundError(f"no Silver rows for {ano}-{mes:02d}")
         return linhas
