@@ -7,6 +7,8 @@ envelope row, so no sale is moved before its file is accepted.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,9 +43,9 @@ def text(valor: Column) -> Column:
 
 
 def integer(valor: Column) -> Column:
-    """Whole number written as a number or as text, NULL for anything else."""
+    """Whole number written as a number or as text (``3`` or ``3.0``), NULL for anything else."""
     numero = text(valor).try_cast("decimal(28,6)")
-    return F.when(numero == F.floor(numero), numero.try_cast("bigint"))
+    return F.coalesce(text(valor).try_cast("bigint"), F.when(numero == F.floor(numero), numero.try_cast("bigint")))
 
 
 def decimal(valor: Column) -> Column:
@@ -149,7 +151,12 @@ def checksum(vendas: Column) -> Column:
 def check(envelopes: DataFrame) -> DataFrame:
     """Adds ``erros``: names of every failed check. Integrity is judged only when the fields are right."""
     nomes = F.array_distinct(F.flatten(F.transform("vendas", lambda v: failures(sale_rules(v)))))
-    das_vendas = F.transform(F.coalesce(nomes, F.array().cast("array<string>")), lambda n: F.concat(F.lit("venda."), n))
+    nenhum = F.array().cast("array<string>")
+    # Most files are right: one pass of short-circuit checks decides, the names are built for the others.
+    todas_certas = F.forall("vendas", lambda v: reduce(and_, [holds(ok) for ok in sale_rules(v).values()]))
+    das_vendas = F.when(F.coalesce(todas_certas, F.lit(True)), nenhum).otherwise(
+        F.transform(nomes, lambda n: F.concat(F.lit("venda."), n))
+    )
     campos = F.when(c("ilegivel"), F.array(F.lit("json_ilegivel"))).otherwise(
         F.concat(failures(envelope_rules()), das_vendas)
     )

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from balcao import schemas
 from balcao.functions.columns import once, quality_score
@@ -14,26 +15,31 @@ c = F.col
 _BLOQUEANTES = [nome for nome, severidade in schemas.REGRAS_QUALIDADE if severidade in schemas.SEVERIDADES_BLOQUEANTES]
 
 
-def _number(coluna: str) -> Column:
-    return c(coluna).cast("string").try_cast("double")
+def _text_time(coluna: str) -> Column:
+    return c(coluna).try_cast("timestamp_ntz")
 
 
-def conditions(no_catalogo: Column) -> dict[str, Column]:
-    """What a good row satisfies, rule by rule. Runs on values as they came, before any cleaning."""
-    bruto = _number("quantidade") * _number("valor_unitario")
-    desconto = _number("desconto_valor")
+def conditions(bronze: DataFrame, no_catalogo: Column) -> dict[str, Column]:
+    """What a good row satisfies, rule by rule. Runs on values as they came, typed or still text."""
+
+    def number(coluna: str) -> Column:
+        return c(coluna).try_cast("double")
+
+    bruto = number("quantidade") * number("valor_unitario")
+    desconto = number("desconto_valor")
+    momento = c("data_venda") if bronze.schema["data_venda"].dataType != T.StringType() else _text_time("data_venda")
     return {
         "id_venda_nao_nulo": c("id_venda").isNotNull() & (c("id_venda") != ""),
-        "loja_id_valido": _number("loja_id").isin(*[float(n) for n in schemas.LOJAS]),
-        "quantidade_positiva": _number("quantidade") > 0,
-        "valor_unitario_positivo": _number("valor_unitario") > 0,
-        "data_venda_valida": c("data_venda").cast("string").try_cast("timestamp_ntz").isNotNull(),
+        "loja_id_valido": number("loja_id").isin(*[float(n) for n in schemas.LOJAS]),
+        "quantidade_positiva": number("quantidade") > 0,
+        "valor_unitario_positivo": number("valor_unitario") > 0,
+        "data_venda_valida": momento.isNotNull(),
         "status_permitido": c("status").isin(*schemas.STATUS),
         "desconto_nao_negativo": F.coalesce(desconto, F.lit(-1.0)) >= 0,
         "desconto_razoavel": (bruto > 0) & (desconto <= bruto * 0.30),
         "produto_id_valido": no_catalogo,
-        "cliente_id_positivo": _number("cliente_id") > 0,
-        "custo_menor_que_preco": _number("custo_unitario") < _number("valor_unitario"),
+        "cliente_id_positivo": number("cliente_id") > 0,
+        "custo_menor_que_preco": number("custo_unitario") < number("valor_unitario"),
     }
 
 
@@ -42,7 +48,7 @@ def evaluate(bronze: DataFrame, catalogo: DataFrame) -> DataFrame:
     that join, a large catalogue is shuffled and a hot product split."""
     conhecidos = catalogo.select(c("produto_id").alias("_produto")).distinct().withColumn("_conhecido", F.lit(True))
     marcado = bronze.join(conhecidos, c("produto_id") == c("_produto"), "left")
-    ok = conditions(c("_conhecido"))
+    ok = conditions(bronze, c("_conhecido"))
     violadas = F.array_compact(
         F.array(*[F.when(~F.coalesce(ok[nome], F.lit(False)), F.lit(nome)) for nome, _ in schemas.REGRAS_QUALIDADE])
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,37 +10,47 @@ from pyspark.sql.window import Window
 
 from balcao.functions.lineage import write_intermediate
 
+c = F.col
+VALOR = "decimal(28,2)"
 
-def spread_rank(df: DataFrame, grupo: Sequence[str], valor: str, nome: str, dense: bool = False) -> DataFrame:
-    """``rank`` or ``dense_rank`` of ``valor`` (descending) per group, without sorting a group in one task.
 
-    Rows are first reduced to a histogram of distinct values. The histogram is range-partitioned, each block is
-    ranked on its own, and the rows of the blocks before it are added. Ties stay together because equal values share
-    one histogram row; a window over the whole group only ever sees one row per block. ``df`` is read twice, so pass a
-    written table or a scan.
+def spread_ranks(
+    df: DataFrame, grupo: Sequence[str], ranks: Mapping[str, str], dense: bool = False
+) -> DataFrame:
+    """``rank`` or ``dense_rank`` (descending) of several money or count columns per group, without sorting a group in
+    one task. ``ranks`` maps the new column to the ranked one.
+
+    Rows are first reduced to a histogram of distinct values. The histogram is range-partitioned, each block is ranked
+    on its own, and the rows of the blocks before it are added. Ties stay together because equal values share one
+    histogram row; a window over a whole group only ever sees one row per block. ``df`` is read more than once, so
+    pass a written table or a scan.
     """
     grupo = list(grupo)
+    chave = [*grupo, "_m"]
+    medidas = F.inline(
+        F.array(*[F.struct(F.lit(nome).alias("_m"), c(col).cast(VALOR).alias("_v")) for nome, col in ranks.items()])
+    )
     passo = F.lit(1).cast("long") if dense else F.count("*")
-    hist = df.groupBy(*grupo, valor).agg(passo.alias("_n"))
+    hist = df.select(*grupo, medidas).groupBy(*chave, "_v").agg(passo.alias("_n"))
     # The block of a row must not change between the two readings below, so the placement is written.
     blocos = write_intermediate(
-        hist.repartitionByRange(*grupo, F.col(valor).desc()).withColumn("_b", F.spark_partition_id()), "rank"
-    )
-    w_local = (
-        Window.partitionBy("_b", *grupo)
-        .orderBy(F.col(valor).desc())
-        .rowsBetween(Window.unboundedPreceding, -1)
+        hist.repartitionByRange(*chave, c("_v").desc()).withColumn("_b", F.spark_partition_id()), "rank"
     )
-    w_bloco = Window.partitionBy(*grupo).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    anteriores = (Window.unboundedPreceding, -1)
+    no_bloco = Window.partitionBy("_b", *chave).orderBy(c("_v").desc()).rowsBetween(*anteriores)
+    entre_blocos = Window.partitionBy(*chave).orderBy("_b").rowsBetween(*anteriores)
     zero = F.lit(0).cast("long")
     inicio = (
-        blocos.groupBy(*grupo, "_b")
+        blocos.groupBy(*chave, "_b")
         .agg(F.sum("_n").alias("_t"))
-        .select(*grupo, "_b", F.coalesce(F.sum("_t").over(w_bloco), zero).alias("_o"))
+        .select(*chave, "_b", F.coalesce(F.sum("_t").over(entre_blocos), zero).alias("_o"))
     )
-    posicao = (
-        blocos.withColumn("_l", F.coalesce(F.sum("_n").over(w_local), zero))
-        .join(inicio, [*grupo, "_b"])
-        .select(*grupo, valor, (F.col("_o") + F.col("_l") + 1).cast("int").alias(nome))
+    posicoes = (
+        blocos.withColumn("_l", F.coalesce(F.sum("_n").over(no_bloco), zero))
+        .join(inicio, [*chave, "_b"])
+        .withColumn("_r", (c("_o") + c("_l") + 1).cast("int"))
     )
-    return df.join(posicao, [*grupo, valor])
+    for nome, coluna in ranks.items():
+        da_medida = posicoes.where(c("_m") == nome).select(*grupo, "_v", c("_r").alias(nome))
+        df = df.withColumn("_v", c(coluna).cast(VALOR)).join(da_medida, [*grupo, "_v"]).drop("_v")
+    return df

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from balcao.functions.columns import days_in_month, month_label, pct, pct2, ratio, rounded
+from balcao.functions.columns import days_in_month, distinct_days, month_label, pct, pct2, ratio, rounded
 from balcao.functions.lineage import write_intermediate
-from balcao.operators.ranking import spread_rank
+from balcao.operators.ranking import spread_ranks
 from balcao.params import PADRAO, Params
 
 DINHEIRO_MART = "decimal(15,2)"
@@ -74,8 +74,9 @@ def kpi_products(silver: DataFrame, *grupo: str) -> DataFrame:
         .agg(F.sum("valor_liquido").alias("faturamento"), F.sum("quantidade").alias("volume")),
         "kpi_produtos",
     )
-    por_receita = spread_rank(produtos, grupo, "faturamento", "ranking_receita", dense=True)
-    return spread_rank(por_receita, grupo, "volume", "ranking_volume", dense=True)
+    return spread_ranks(
+        produtos, grupo, {"ranking_receita": "faturamento", "ranking_volume": "volume"}, dense=True
+    )
 
 
 def dre_totals(silver: DataFrame) -> DataFrame:
@@ -141,7 +142,7 @@ def fpa_totals(silver: DataFrame) -> DataFrame:
         .agg(
             F.sum("valor_liquido").alias("receita_realizada"),
             F.sum("margem_bruta").alias("margem_bruta"),
-            F.count_distinct(F.to_date("data_venda")).alias("dias_com_venda"),
+            distinct_days(F.day("data_venda")).alias("dias_com_venda"),
         )
     )
 

@@ -11,7 +11,7 @@ from pyspark.sql.window import Window, WindowSpec
 
 from balcao.functions.columns import days_in_month, pct, pct2, ratio, rounded, traffic_light
 from balcao.functions.lineage import write_intermediate
-from balcao.operators.ranking import spread_rank
+from balcao.operators.ranking import spread_ranks
 from balcao.sources.warehouse import Warehouse
 
 CHAVE = ["ano", "mes", "loja_id"]
@@ -157,26 +157,25 @@ def fpa_view(wh: Warehouse) -> DataFrame:
 
 
 def product_month(wh: Warehouse) -> DataFrame:
-    """Product totals per month. Aggregates by product id first; the names join the much smaller result."""
+    """Product totals per month, by id only."""
     fato = wh.fato("ano", "mes", "produto_id", "status", "valor_liquido", "quantidade")
     return (
         fato.where("status = 'CONCLUIDA'")
         .groupBy("ano", "mes", "produto_id")
         .agg(F.sum("valor_liquido").alias("receita"), F.sum("quantidade").alias("volume"))
-        .join(wh.dim_produto().select("produto_id", "produto_nome", "categoria"), "produto_id")
     )
 
 
 def top_products(wh: Warehouse, limite: int = 10) -> DataFrame:
-    """Products among the month's first ``limite`` by revenue or by volume, with both ranks."""
-    produtos = write_intermediate(product_month(wh), "produto_mes")
-    por_receita = spread_rank(produtos, ["ano", "mes"], "receita", "ranking_receita")
-    por_volume = spread_rank(
-        produtos.select("ano", "mes", "produto_id", "volume"), ["ano", "mes"], "volume", "ranking_volume"
-    )
-    return por_receita.join(por_volume.drop("volume"), ["ano", "mes", "produto_id"]).where(
-        (c("ranking_receita") <= limite) | (c("ranking_volume") <= limite)
-    )
+    """Products among the month's first ``limite`` by revenue or by volume, with both ranks. Ranks cover the products
+    of the dimension; names join the few rows that remain."""
+    dim = wh.dim_produto()
+    conhecidos = product_month(wh).join(dim.select("produto_id"), "produto_id", "left_semi")
+    produtos = write_intermediate(conhecidos, "produto_mes")
+    ranqueados = spread_ranks(
+        produtos, ["ano", "mes"], {"ranking_receita": "receita", "ranking_volume": "volume"}
+    ).where((c("ranking_receita") <= limite) | (c("ranking_volume") <= limite))
+    return ranqueados.join(dim.select("produto_id", "produto_nome", "categoria"), "produto_id")
 
 
 def channel_cohort(wh: Warehouse) -> DataFrame:

@@ -35,6 +35,11 @@ _DE_PRODUTO = {
 }
 
 
+def sale_time() -> Column:
+    """Ship date plus an hour of day taken from the order key."""
+    return F.expr("l_shipdate + make_dt_interval(0, int(l_orderkey % 24))")
+
+
 def shift_of(ts: Column) -> Column:
     hora = F.hour(ts)
     return F.when(hora < 12, "MANHA").when(hora < 18, "TARDE").otherwise("NOITE")
@@ -52,17 +57,21 @@ class SampleStar(Warehouse):
 
     def lines(self) -> DataFrame:
         """Order lines with their store, repeated keys included. Region and nation are fixed lists (5 and 25 rows);
-        the supplier side is left to Spark's size check."""
+        the supplier side is left to Spark's size check.
+
+        Fewer files than cores cannot feed all tasks, so such an input is first spread by the sale key, which the
+        dedup needs anyway. Otherwise rows stay where they were read and are reduced before any shuffle."""
         regioes = F.broadcast(
             self.table("nation")
             .join(F.broadcast(self.table("region")), F.col("n_regionkey") == F.col("r_regionkey"))
             .select("n_nationkey", (F.col("r_regionkey") + 1).alias("loja_id"), F.col("r_name").alias("loja_nome"))
         )
-        fornecedores = self.table("supplier").join(regioes, F.col("s_nationkey") == F.col("n_nationkey"))
-        return (
-            self.table("lineitem")
-            .join(fornecedores, F.col("l_suppkey") == F.col("s_suppkey"))
-            .withColumn("data_venda", F.expr("l_shipdate + make_dt_interval(0, int(l_orderkey % 24))"))
+        linhas = self.table("lineitem")
+        if len(linhas.inputFiles()) < self.spark.sparkContext.defaultParallelism:
+            linhas = linhas.repartition("l_orderkey", "l_linenumber")
+        # Suppliers join first and alone: the size estimate of a pre-joined side would make Spark broadcast the lines.
+        return linhas.join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(
+            regioes, F.col("s_nationkey") == F.col("n_nationkey")
         )
 
     def unique_lines(self) -> DataFrame:
@@ -76,7 +85,7 @@ class SampleStar(Warehouse):
 
     def sales(self, linhas: DataFrame, colunas: set[str]) -> DataFrame:
         """Contract columns of the given order lines."""
-        df = linhas.withColumns(
+        df = linhas.withColumn("data_venda", sale_time()).withColumns(
             {
                 "id_venda": F.concat_ws("-", F.lit("VND"), "l_orderkey", "l_linenumber"),
                 "produto_id": F.col("l_partkey"),
@@ -158,7 +167,7 @@ class SampleStar(Warehouse):
                 preco.alias("valor_unitario"),
                 F.col("custo_base").alias("custo_unitario"),
                 F.round(bruto * taxa, 2).cast(DINHEIRO).alias("desconto_valor"),
-                F.col("data_venda").cast("string").alias("data_venda"),
+                sale_time().cast("string").alias("data_venda"),
                 status.otherwise("pendente").alias("status"),
                 "posicao",
             )
@@ -257,6 +266,7 @@ class SampleStar(Warehouse):
         dia = F.to_date("data_venda")
         lidos = (
             self.lines()
+            .withColumn("data_venda", sale_time())
             .groupBy("loja_id", dia.alias("data_referencia"), shift_of(F.col("data_venda")).alias("turno"))
             .agg(F.count("*").alias("registros_lidos"))
         )

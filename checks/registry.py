@@ -218,8 +218,11 @@ add("E4_dre_gerencial", lambda wh: wh.shared().dre(), f"SELECT {DRE} FROM dre")
 
 def _fpa(wh: SampleStar) -> DataFrame:
     orcamento = wh.shared().orcamento()
-    vendas = wh.fato("loja_id", "ano", "mes", "status", "valor_liquido", "margem_bruta", "data_venda")
-    return marts.fpa(vendas, orcamento)
+    realizado = {"faturamento": "receita_realizada", "dias": "dias_com_venda"}
+    totais = wh.loja_mes().withColumnsRenamed(realizado)
+    return marts.fpa_indicators(
+        orcamento, totais.select("loja_id", "ano", "mes", "receita_realizada", "margem_bruta", "dias_com_venda")
+    )
 
 
 _REAL = "CAST(receita_realizada AS DOUBLE)"
@@ -1093,7 +1096,7 @@ _DIM_TEMPO = (
 )
 add(
     "L3_calendario_das_vendas",
-    lambda wh: load.calendar_rows(wh.lines().select(c("data_venda").alias("data"))),
+    lambda wh: load.calendar_rows(wh.lines().select(c("l_shipdate").alias("data"))),
     f"{_DIM_TEMPO} FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS data FROM lineitem) t".replace(
         "strftime(data, '%Y-%m-%d')", "strftime(t.data, '%Y-%m-%d')", 1
     ),
