@@ -79,7 +79,7 @@ def latest_dre(wh: Warehouse) -> DataFrame:
 
 def store_margin(wh: Warehouse) -> DataFrame:
     return (
-        wh.loja_mes()
+        wh.loja_mes("margem_bruta", "faturamento")
         .select(
             "ano", "mes", "loja_id", "margem_bruta", pct(c("margem_bruta"), c("faturamento")).alias("margem_pct")
         )

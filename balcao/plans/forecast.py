@@ -48,7 +48,7 @@ def active_stores(wh: Warehouse) -> DataFrame:
 
 def store_series(wh: Warehouse) -> DataFrame:
     """Store-month series. Built from one store-month table joined once to its budget, not from five views."""
-    m = wh.shared().loja_mes()
+    m = wh.shared().loja_mes("faturamento", "pedidos", "margem_bruta", "dias")
     ticket = ratio(c("faturamento"), c("pedidos"))
     anterior = views.previous("faturamento")
     orcamento = wh.orcamento().select(*CHAVE, "receita_orcada")
@@ -98,7 +98,7 @@ def network_revenue(wh: Warehouse) -> DataFrame:
     """Network revenue and EBITDA margin per month from the shared store-month table."""
     receita = (
         wh.shared()
-        .loja_mes()
+        .loja_mes("faturamento")
         .groupBy("ano", "mes")
         .agg(F.sum("faturamento").alias("receita_liquida"))
         .join(network_margins(wh), ["ano", "mes"], "left")
@@ -138,7 +138,7 @@ def network_series(wh: Warehouse) -> DataFrame:
 
 def latest_network_month(wh: Warehouse) -> DataFrame:
     """One row: the newest month with a completed sale."""
-    return wh.shared().loja_mes().agg(F.max(month_label(c("ano"), c("mes"))).alias("ultima"))
+    return wh.shared().loja_mes("pedidos").agg(F.max(month_label(c("ano"), c("mes"))).alias("ultima"))
 
 
 def last_two(series: DataFrame, chave: str | None, valor: str) -> DataFrame:
@@ -420,7 +420,7 @@ def ml_series(wh: Warehouse) -> DataFrame:
     ativas = wh.dim_loja().where("ativa").select("loja_id")
     lojas = store_series(wh).join(F.broadcast(ativas), "loja_id", "left_semi")
     rede = (
-        wh.loja_mes()
+        wh.loja_mes("faturamento")
         .groupBy("ano", "mes")
         .agg(F.sum("faturamento").alias("valor"))
         .select(F.lit(0).alias("serie"), month_label(c("ano"), c("mes")).alias("competencia"), "valor")

@@ -101,7 +101,7 @@ def revenue_trend(wh: Warehouse) -> DataFrame:
 
 def store_table(wh: Warehouse, ano: int, mes: int) -> DataFrame:
     """Stores of a month with revenue rank and target light."""
-    wh = wh.shared()
+    wh = wh.shared("faturamento")
     meta = views.target_vs_actual(wh).select(*views.CHAVE, "receita_orcada", "variacao_pct", "status_semaforo")
     return (
         of_month(views.store_revenue(wh), ano, mes)
@@ -136,7 +136,7 @@ def product_bars(wh: Warehouse, ano: int, mes: int, quantos: int = 6) -> DataFra
 
 def fpa_by_store(wh: Warehouse, ano: int, mes: int) -> DataFrame:
     return (
-        of_month(views.fpa_view(wh.shared()), ano, mes)
+        of_month(views.fpa_view(wh.shared("faturamento", "dias")), ano, mes)
         .join(wh.lojas(), "loja_id")
         .select(
             "loja_id", "loja_nome", "realizado", "receita_orcada", "meta_atingida_pct", "forecast_mes",

@@ -51,7 +51,7 @@ def monthly_revenue(wh: Warehouse) -> DataFrame:
 def store_revenue(wh: Warehouse) -> DataFrame:
     anterior = previous("faturamento")
     return (
-        wh.loja_mes()
+        wh.loja_mes("faturamento")
         .select(
             *CHAVE,
             "faturamento",
@@ -65,7 +65,7 @@ def store_revenue(wh: Warehouse) -> DataFrame:
 
 def store_ticket(wh: Warehouse) -> DataFrame:
     return (
-        wh.loja_mes()
+        wh.loja_mes("faturamento", "pedidos")
         .select(*CHAVE, ratio(c("faturamento"), c("pedidos")).alias("ticket_medio"))
         .withColumn("ticket_anterior", previous("ticket_medio"))
         .withColumn("variacao_pct", pct2(c("ticket_medio") - c("ticket_anterior"), c("ticket_anterior")))
@@ -76,7 +76,7 @@ def store_ticket(wh: Warehouse) -> DataFrame:
 def store_ranking(wh: Warehouse) -> DataFrame:
     margem = pct(c("margem_bruta"), c("faturamento"))
     return (
-        wh.loja_mes()
+        wh.loja_mes("faturamento", "margem_bruta")
         .join(wh.orcamento().select(*CHAVE, "receita_orcada"), CHAVE)
         .join(wh.lojas(), "loja_id")
         .select(
@@ -93,7 +93,7 @@ def store_ranking(wh: Warehouse) -> DataFrame:
 
 def target_vs_actual(wh: Warehouse) -> DataFrame:
     """Every budget month, with zero where nothing was sold."""
-    realizado = wh.loja_mes().select(*CHAVE, c("faturamento").alias("receita_realizada"))
+    realizado = wh.loja_mes("faturamento").select(*CHAVE, c("faturamento").alias("receita_realizada"))
     variacao = c("receita_realizada") - c("receita_orcada")
     return (
         wh.orcamento()
@@ -143,7 +143,7 @@ def fpa_view(wh: Warehouse) -> DataFrame:
     """Month forecast from the observed days; only store-months that have a budget."""
     previsao = ratio(c("faturamento"), c("dias")) * days_in_month(c("ano"), c("mes"))
     return (
-        wh.loja_mes()
+        wh.loja_mes("faturamento", "dias")
         .join(wh.orcamento().select(*CHAVE, "receita_orcada"), CHAVE)
         .select(
             *CHAVE,

@@ -222,7 +222,7 @@ class SampleStar(Warehouse):
         fator = (F.lit(80) + F.col("loja_id") * 10) / F.lit(100.0)
         receita = money(media * fator)
         return (
-            self.loja_mes()
+            self.loja_mes("faturamento")
             .groupBy("loja_id", "ano")
             .agg(receita.alias("receita_orcada"))
             .withColumn("mes", F.explode(F.sequence(F.lit(1), F.lit(12))))
@@ -239,7 +239,7 @@ class SampleStar(Warehouse):
     def dre_params(self) -> DataFrame:
         """Fixed cost (5 % of the store's mean month) and depreciation per store."""
         return (
-            self.loja_mes()
+            self.loja_mes("faturamento")
             .groupBy("loja_id")
             .agg(
                 money(F.sum("faturamento").cast("double") / F.count("*") * 0.05).alias("despesas_fixas")
@@ -248,7 +248,7 @@ class SampleStar(Warehouse):
         )
 
     def dre(self) -> DataFrame:
-        totais = self.loja_mes().select(
+        totais = self.loja_mes("receita_bruta", "descontos", "custo_total").select(
             "loja_id", "ano", "mes", "receita_bruta", "descontos", F.col("custo_total").alias("cmv")
         )
         return dre_lines(totais, self.dre_params(), self.params)

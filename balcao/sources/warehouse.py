@@ -2,15 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from balcao.functions.columns import completed, distinct_days
 from balcao.functions.lineage import write_intermediate
 
 
+CHAVE = ("ano", "mes", "loja_id")
+
+# Measure -> fact column and aggregate. ``(id_venda, loja_id)`` is unique in the fact table, so inside one store the
+# distinct sale count is a row count and needs no second shuffle.
+MEDIDAS: dict[str, tuple[str, Callable[[Column], Column]]] = {
+    "faturamento": ("valor_liquido", F.sum),
+    "receita_bruta": ("valor_bruto", F.sum),
+    "descontos": ("desconto_valor", F.sum),
+    "custo_total": ("custo_total", F.sum),
+    "margem_bruta": ("margem_bruta", F.sum),
+    "quantidade": ("quantidade", F.sum),
+    "pedidos": ("status", F.count),
+    "dias": ("dia", distinct_days),
+}
+
+
 class Warehouse:
     """Base class. Subclasses say where the tables come from."""
 
@@ -46,59 +62,37 @@ class Warehouse:
         """Store names for joins. The contract allows five store ids, so the broadcast is bounded."""
         return F.broadcast(self.dim_loja().select("loja_id", "loja_nome"))
 
-    def loja_mes_status(self) -> DataFrame:
-        """Every store-month with all measures, whatever the status of its sales."""
+    def loja_mes(self, *medidas: str) -> DataFrame:
+        """Completed sales per store-month; all measures unless some are named. Only the fact columns behind the named
+        measures are requested, so a revenue question never joins product costs."""
+        pedidas = medidas or tuple(MEDIDAS)
+        if self._loja_mes is not None and set(pedidas) <= set(self._loja_mes.columns):
+            return self._loja_mes.where("pedidos > 0").select(*CHAVE, *pedidas)
+        fato = self.fato(*CHAVE, "status", *sorted({MEDIDAS[m][0] for m in pedidas} - {"status"}))
+        return (
+            fato.where("status = 'CONCLUIDA'")
+            .groupBy(*CHAVE)
+            .agg(*[MEDIDAS[m][1](F.col(MEDIDAS[m][0])).alias(m) for m in pedidas])
+        )
+
+    def loja_mes_status(self, *medidas: str) -> DataFrame:
+        """Every store-month whatever the status of its sales: status counts next to the measures of the completed
+        ones (all unless some are named)."""
         if self._loja_mes is not None:
             return self._loja_mes
-        fato = self.fato(
-            "ano", "mes", "dia", "loja_id", "status", "quantidade", "valor_bruto", "valor_liquido",
-            "desconto_valor", "custo_total", "margem_bruta",
-        )
-        somas = {
-            "faturamento": "valor_liquido",
-            "receita_bruta": "valor_bruto",
-            "descontos": "desconto_valor",
-            "custo_total": "custo_total",
-            "margem_bruta": "margem_bruta",
-            "quantidade": "quantidade",
-        }
-        return fato.groupBy("ano", "mes", "loja_id").agg(
-            *[F.sum(completed(F.col(origem))).alias(nome) for nome, origem in somas.items()],
-            F.count_if(F.col("status") == "CONCLUIDA").alias("pedidos"),
+        pedidas = tuple(dict.fromkeys((*(medidas or MEDIDAS), "pedidos")))
+        fato = self.fato(*CHAVE, "status", *sorted({MEDIDAS[m][0] for m in pedidas} - {"status"}))
+        return fato.groupBy(*CHAVE).agg(
+            *[MEDIDAS[m][1](completed(F.col(MEDIDAS[m][0]))).alias(m) for m in pedidas],
             F.count_if(F.col("status") == "CANCELADA").alias("canceladas"),
             F.count_if(F.col("status") == "PENDENTE").alias("pendentes"),
             F.count("*").alias("registros"),
-            distinct_days(completed(F.col("dia"))).alias("dias"),
-        )
-
-    def loja_mes(self) -> DataFrame:
-        """Completed sales per store-month. ``(id_venda, loja_id)`` is unique in the fact table, so inside one
-        store the distinct sale count is the row count and needs no second shuffle."""
-        if self._loja_mes is not None:
-            return self._loja_mes.where("pedidos > 0")
-        fato = self.fato(
-            "ano", "mes", "dia", "loja_id", "status", "quantidade", "valor_bruto", "valor_liquido",
-            "desconto_valor", "custo_total", "margem_bruta",
-        )
-        return (
-            fato.where("status = 'CONCLUIDA'")
-            .groupBy("ano", "mes", "loja_id")
-            .agg(
-                F.sum("valor_liquido").alias("faturamento"),
-                F.sum("valor_bruto").alias("receita_bruta"),
-                F.sum("desconto_valor").alias("descontos"),
-                F.sum("custo_total").alias("custo_total"),
-                F.sum("margem_bruta").alias("margem_bruta"),
-                F.sum("quantidade").alias("quantidade"),
-                F.count("*").alias("pedidos"),
-                distinct_days(F.col("dia")).alias("dias"),
-            )
         )
 
-    def shared(self) -> Warehouse:
+    def shared(self, *medidas: str) -> Warehouse:
         """Compute the store-month table once (stores x months rows) for plans that read it in several branches."""
         if self._loja_mes is None:
-            self._loja_mes = write_intermediate(self.loja_mes_status(), "loja_mes")
+            self._loja_mes = write_intermediate(self.loja_mes_status(*medidas), "loja_mes")
         return self
 
     def with_ledger(self) -> Warehouse:

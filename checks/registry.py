@@ -22,6 +22,7 @@ from checks.oracle_base import DRE_VALORES, aprovacao, dbl, iso_date, iso_time,
 c = F.col
 ANO, MES, LOJA = 1998, 6, 3
 AJUSTE, MESES = 5.0, 6
+DRE_MEDIDAS = ("faturamento", "receita_bruta", "descontos", "custo_total")
 
 
 @dataclass(frozen=True)
@@ -64,17 +65,17 @@ add("V2_faturamento_por_loja", views.store_revenue, f"SELECT {V2} FROM v2")
 add("V3_ticket_medio_por_loja", views.store_ticket, f"SELECT {V3} FROM v3")
 add(
     "V4_ranking_lojas",
-    lambda wh: views.store_ranking(wh.shared()),
+    lambda wh: views.store_ranking(wh.shared("faturamento", "margem_bruta")),
     f"SELECT ano, mes, loja_id, loja_nome, {dbl('receita')}, margem_pct, meta_atingida_pct, ranking_receita, "
     "ranking_margem FROM v4",
 )
-add("V5_meta_vs_realizado", lambda wh: views.target_vs_actual(wh.shared()), f"SELECT {V5} FROM v5")
+add("V5_meta_vs_realizado", views.target_vs_actual, f"SELECT {V5} FROM v5")
 add(
     "V6_dre_consolidada",
-    lambda wh: views.consolidated_dre(wh.shared()),
+    lambda wh: views.consolidated_dre(wh.shared(*DRE_MEDIDAS)),
     f"SELECT ano, mes, unidade, {dbl(*DRE_VALORES)}, margem_bruta_pct, margem_ebitda_pct, margem_liquida_pct FROM v6",
 )
-add("V7_indicadores_fpa", lambda wh: views.fpa_view(wh.shared()), f"SELECT {V7} FROM v7")
+add("V7_indicadores_fpa", lambda wh: views.fpa_view(wh.shared("faturamento", "dias")), f"SELECT {V7} FROM v7")
 add("V8_top10_produtos", views.top_products, f"SELECT {V8} FROM v8")
 add(
     "V9_cohort_canais",
@@ -122,10 +123,10 @@ add(
     f"SELECT loja_id, {pct('COUNT(*) FILTER (WHERE status = ' + repr('CANCELADA') + ')', 'COUNT(*)')} "
     "AS cancelamento_pct FROM fato GROUP BY loja_id",
 )
-add("Q9_meta_vs_realizado", lambda wh: analyst.target_vs_actual(wh.shared()), f"SELECT {V5} FROM v5")
+add("Q9_meta_vs_realizado", analyst.target_vs_actual, f"SELECT {V5} FROM v5")
 add(
     "Q10_dre_mes_recente",
-    lambda wh: analyst.latest_dre(wh.shared()),
+    lambda wh: analyst.latest_dre(wh.shared(*DRE_MEDIDAS)),
     f"SELECT {DRE} FROM dre WHERE (ano, mes) = (SELECT (ano, mes) FROM dre ORDER BY ano DESC, mes DESC LIMIT 1)",
 )
 add(
@@ -168,7 +169,7 @@ add(
 )
 add(
     "Q19_forecast_mensal",
-    lambda wh: analyst.month_forecast(wh.shared()),
+    lambda wh: analyst.month_forecast(wh.shared("faturamento", "dias")),
     "SELECT ano, mes, loja_id, forecast_mes, run_rate_anual FROM v7",
 )
 add(
@@ -213,13 +214,13 @@ add(
     "FROM (SELECT produto_id, produto_nome, categoria, SUM(valor_liquido) AS faturamento, "
     "CAST(SUM(quantidade) AS BIGINT) AS volume FROM concluidas GROUP BY ALL)",
 )
-add("E4_dre_gerencial", lambda wh: wh.shared().dre(), f"SELECT {DRE} FROM dre")
+add("E4_dre_gerencial", lambda wh: wh.shared(*DRE_MEDIDAS).dre(), f"SELECT {DRE} FROM dre")
 
 
 def _fpa(wh: SampleStar) -> DataFrame:
-    orcamento = wh.shared().orcamento()
+    orcamento = wh.shared("faturamento", "margem_bruta", "dias").orcamento()
     realizado = {"faturamento": "receita_realizada", "dias": "dias_com_venda"}
-    totais = wh.loja_mes().withColumnsRenamed(realizado)
+    totais = wh.loja_mes("faturamento", "margem_bruta", "dias").withColumnsRenamed(realizado)
     return marts.fpa_indicators(
         orcamento, totais.select("loja_id", "ano", "mes", "receita_realizada", "margem_bruta", "dias_com_venda")
     )
@@ -255,7 +256,7 @@ add(
 )
 add(
     "E6_dias_com_venda",
-    lambda wh: wh.loja_mes().select("ano", "mes", "loja_id", "dias"),
+    lambda wh: wh.loja_mes("dias"),
     "SELECT ano, mes, loja_id, COUNT(DISTINCT data) AS dias FROM concluidas GROUP BY ano, mes, loja_id",
 )
 
@@ -283,7 +284,7 @@ add(
 )
 add(
     "M2_dre_do_mes",
-    lambda wh: snapshots.dre_totals(wh.shared(), ANO, MES),
+    lambda wh: snapshots.dre_totals(wh.shared(*DRE_MEDIDAS), ANO, MES),
     "SELECT CAST(SUM(receita_liquida) AS DOUBLE) AS receita_liquida, CAST(SUM(lucro_bruto) AS DOUBLE) AS lucro_bruto, "
     "CAST(SUM(ebitda) AS DOUBLE) AS ebitda, CAST(SUM(resultado_antes_ir) AS DOUBLE) AS resultado_antes_ir, "
     f"{pct('SUM(ebitda)', 'SUM(receita_liquida)')} AS margem_ebitda_pct FROM dre {DO_MES}",
@@ -351,7 +352,7 @@ add(
 
 
 def _future(wh: SampleStar) -> DataFrame:
-    wh = wh.shared()
+    wh = wh.shared("faturamento")
     return forecast.future_budgets(wh, forecast.latest_network_month(wh))
 
 
@@ -1134,7 +1135,7 @@ add(
 
 
 def _dre_merge(wh: SampleStar) -> DataFrame:
-    dre = wh.shared().dre()
+    dre = wh.shared(*DRE_MEDIDAS).dre()
     chave = ["loja_id", "ano", "mes"]
     return load.merge_by_key(
         dre.where("ano <= 1999"), dre.where("ano >= 1999"), chave, [x for x in dre.columns if x not in chave]
