@@ -10,8 +10,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from balcao import schemas
@@ -43,6 +45,11 @@ def month_days(competencia: str) -> tuple[date, int]:
     return inicio, ((inicio + timedelta(days=31)).replace(day=1) - inicio).days
 
 
+def month_end(ano: int, mes: int) -> date:
+    inicio, dias = month_days(f"{ano:04d}-{mes:02d}")
+    return inicio + timedelta(days=dias - 1)
+
+
 def day_list(inicio: date, dias: int) -> list[date]:
     if dias < 1:
         raise ValueError("a backfill needs at least one day")
@@ -56,7 +63,7 @@ class Job:
     run_id: str = "cli_or_backfill"
 
     @property
-    def spark(self):
+    def spark(self) -> SparkSession:
         return self.lake.spark
 
     # Setup
@@ -119,9 +126,10 @@ class Job:
         return self.lake.read("silver/vendas", silver.silver_schema(self.spark)).where(self._months(meses))
 
     @staticmethod
-    def _months(meses: Sequence[tuple[int, int]]):
-        numero = F.year("data_referencia") * 100 + F.month("data_referencia")
-        return numero.isin([a * 100 + m for a, m in meses])
+    def _months(meses: Sequence[tuple[int, int]]) -> Column:
+        """Partition filter: the reference dates of the given months."""
+        intervalos = [c("data_referencia").between(date(a, m, 1), month_end(a, m)) for a, m in meses]
+        return reduce(or_, intervalos)
 
     def read_month(self, ano: int, mes: int) -> DataFrame:
         linhas = self.lake.read("silver/vendas", silver.silver_schema(self.spark)).where(self._months([(ano, mes)]))

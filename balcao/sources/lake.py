@@ -56,13 +56,7 @@ class Lake:
 
     def replace_partitions(self, df: DataFrame, tabela: str, particoes: Sequence[str]) -> None:
         """Overwrite the partitions present in ``df``. The result is staged first: its plan may read the same table."""
-        pronto = write_intermediate(df, tabela.replace("/", "_"))
-        (
-            pronto.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*particoes)
-            .parquet(self.path(tabela))
-        )
+        self._write(write_intermediate(df, tabela.replace("/", "_")), tabela, particoes)
 
     def replace_table(self, df: DataFrame, tabela: str) -> None:
         """Replace a whole (dimension-sized) table from a staged copy."""
@@ -74,38 +68,32 @@ class Lake:
         """Replace the given reference days; a day without rows is emptied, not left as it was. Returns the staged
         rows, so callers need not recompute them."""
         pronto = write_intermediate(df, tabela.replace("/", "_"))
+        dia = F.col("data_referencia")
+        antigos = self.read(tabela, df.schema).where(dia.between(min(dias), max(dias))).select(dia).distinct()
+        sem_linhas = antigos.join(pronto.select(dia).distinct(), "data_referencia", "left_anti").collect()
+        self._write(pronto, tabela, ["data_referencia"])
+        vazio = self.spark.createDataFrame([], T.StructType([f for f in df.schema if f.name != "data_referencia"]))
+        for linha in sem_linhas:
+            vazio.write.mode("overwrite").parquet(f"{self.path(tabela)}/data_referencia={linha[0].isoformat()}")
+        return pronto
+
+    def _write(self, df: DataFrame, tabela: str, particoes: Sequence[str]) -> None:
+        """Overwrite the partitions present in ``df``. Rebalancing keeps one partition's rows in few files and splits a
+        partition that is too large for one task."""
         (
-            pronto.write.mode("overwrite")
+            df.hint("rebalance", *[F.col(p) for p in particoes])
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("data_referencia")
+            .partitionBy(*particoes)
             .parquet(self.path(tabela))
         )
-        com_linhas = {r[0] for r in pronto.select("data_referencia").distinct().collect()}
-        vazio = self.spark.createDataFrame([], T.StructType([f for f in df.schema if f.name != "data_referencia"]))
-        for dia in dias:
-            if dia not in com_linhas and self._has_day(tabela, dia):
-                vazio.write.mode("overwrite").parquet(f"{self.path(tabela)}/data_referencia={dia.isoformat()}")
-        return pronto
-
-    def _has_day(self, tabela: str, dia: date) -> bool:
-        try:
-            pasta = self.spark.read.parquet(f"{self.path(tabela)}/data_referencia={dia.isoformat()}")
-        except AnalysisException:
-            return False
-        return not pasta.isEmpty()
 
     def export_csv(self, df: DataFrame, tabela: str) -> None:
         df.write.mode("overwrite").option("header", True).csv(self.path(f"export/{tabela}"))
 
 
-def month_filter(ano: int, mes: int):
-    """Partition filter of one month on the reference date."""
-    inicio = F.make_date(F.lit(ano), F.lit(mes), F.lit(1))
-    return F.col("data_referencia").between(inicio, F.last_day(inicio))
-
-
 class LakeWarehouse(Warehouse):
-    """Star schema read from the lake."""
+    """Star schema read from the lake. One object is one reading of the lake: after a load, make a new one."""
 
     def __init__(self, lake: Lake):
         super().__init__(lake.spark)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -97,6 +98,16 @@ def test_warehouse_plans_run_on_the_lake(loaded):
     snapshots.require_store(wh, 1)
 
 
+def test_csv_export_and_month_pruning(loaded, spark):
+    job, _ = loaded
+    job.lake.export_csv(job.lake.read("gold/dre_gerencial"), "dre_gerencial")
+    assert spark.read.option("header", True).csv(job.lake.path("export/dre_gerencial")).count() == 3
+    mes = job.read_month(2026, 1)
+    assert mes.count() == 24
+    plano = mes._jdf.queryExecution().executedPlan().toString()
+    assert "data_referencia" in plano.split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_rerun_changes_nothing(loaded):
     job, _ = loaded
     antes = sorted(rows(fact(job).drop("processed_at"), "id_venda", "loja_id", "valor_liquido", "status"))
@@ -116,7 +127,7 @@ def test_backfill_equals_single_days(spark, tmp_path, loaded):
     destino = Job(Lake(spark, str(tmp_path)))
     for dia in ("2026-01-08", "2026-01-09"):
         textos = raw.scan(spark, origem.lake.path("raw"), dia, dia)
-        destino.run_texts(textos, day_list(__import__("datetime").date.fromisoformat(dia), 1))
+        destino.run_texts(textos, day_list(date.fromisoformat(dia), 1))
     colunas = ("id_venda", "loja_id", "quantidade", "valor_liquido", "status", "produto_sk")
     assert sorted(rows(fact(separado), *colunas)) == sorted(rows(fact(origem), *colunas))
 
