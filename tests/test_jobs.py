@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import shutil
 from datetime import date
 
 import pytest
@@ -18,10 +19,20 @@ from balcao.streaming.landing import start_landing
 from tests.conftest import INSTANTE, TRES_VENDAS, bronze_frame, envelope, land, rows, sale
 
 
+@pytest.fixture(scope="module", autouse=True)
+def vazio(spark, tmp_path_factory):
+    """A lake with dimensions and budgets only, copied by the tests."""
+    raiz = tmp_path_factory.mktemp("vazio")
+    Job(Lake(spark, str(raiz))).setup()
+    VAZIO.append(raiz)
+
+
+VAZIO: list = []
+
+
 def job_at(spark, raiz) -> Job:
-    job = Job(Lake(spark, str(raiz)))
-    job.setup()
-    return job
+    shutil.copytree(VAZIO[-1], raiz, dirs_exist_ok=True)
+    return Job(Lake(spark, str(raiz)))
 
 
 def fact(job):
