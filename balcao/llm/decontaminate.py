@@ -104,7 +104,7 @@ def find(
     wanted = pairs.select("doc", "item").join(items.select("item", "n_item", "item_hashes"), "item")
     wanted = wanted.groupBy("doc").agg(F.collect_list(F.struct("item", "n_item", "item_hashes")).alias("items"))
     wanted = write_intermediate(wanted, "decontaminate-candidates")
-    counted = with_shingles(texts.join(wanted, "doc"), "text", width).select("doc", "items", F.array_distinct("hashes").alias("held"))
+    counted = with_shingles(texts.join(wanted.hint("merge"), "doc"), "text", width).select("doc", "items", F.array_distinct("hashes").alias("held"))
     shared = F.transform(
         "items", lambda i: F.struct(i["item"].alias("item"), i["n_item"].alias("n_item"), F.size(F.array_intersect("held", i["item_hashes"])).alias("n_shared"))
     )
