@@ -5,12 +5,13 @@ costs no more memory than one on ten. Lines well above the threshold are boilerp
 get an exact distinct count. Of a boilerplate line the first appearance stays (lowest document id, then lowest position),
 the others are removed.
 
-Only DataFrame functions are used. The wide texts are exchanged once, and only to meet the lists of removed lines.
+Only DataFrame functions are used. Texts are split once into a written table of hashes; the wide texts are exchanged once, and only
+to meet the lists of removed lines.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from balcao.functions.lineage import write_intermediate
@@ -21,17 +22,16 @@ LG_K = 8
 NEAR = 0.26
 
 
-def trimmed(line: Column) -> Column:
-    return F.regexp_replace(line, r"^\s+|\s+$", "")
+#: White space at a line's ends.
+BLANKS = " \t\r\x0b\x0c"
 
 
 def lines(docs: DataFrame, id_col: str, text_col: str, site_col: str, min_words: int) -> DataFrame:
     """(doc, site, pos, h1, h2): the lines of at least ``min_words`` words, by two independent hashes."""
     parts = docs.select(
         F.col(id_col).alias("doc"), F.col(site_col).cast("string").alias("site"), F.posexplode(F.split(text_col, "\n")).alias("pos", "line")
-    ).withColumn("line", trimmed(F.col("line")))
-    long_enough = (F.col("line") != "") & (F.size(F.split("line", r"\s+")) >= min_words)
-    return parts.where(long_enough).select("doc", "site", "pos", F.xxhash64("line").alias("h1"), F.crc32("line").alias("h2"))
+    ).withColumn("line", F.btrim("line", F.lit(BLANKS)))
+    return parts.where(F.col("line").rlike(rf"^(\S+\s+){{{max(min_words, 1) - 1}}}\S")).select("doc", "site", "pos", F.xxhash64("line").alias("h1"), F.crc32("line").alias("h2"))
 
 
 def boilerplate(found: DataFrame, min_sites: int) -> DataFrame:
@@ -65,7 +65,7 @@ def dedup_lines(
     whose lines all go becomes empty. Input columns named ``n_lines`` or ``n_removed`` are replaced; others pass through.
     """
     docs = docs.drop("n_lines", "n_removed")
-    found = lines(docs, id_col, text_col, site_col, min_words)
+    found = write_intermediate(lines(docs, id_col, text_col, site_col, min_words), "line-hashes")
     common = boilerplate(found, min_sites)
     hits = found.join(common, ["h1", "h2"]).where(F.col("doc").isNotNull() & (F.struct("doc", "pos") != F.col("first")))
     removed = hits.groupBy(F.col("doc").alias("__doc")).agg(F.collect_set("pos").alias("__removed"))
@@ -79,14 +79,14 @@ def dedup_lines(
     return out.withColumns({c: F.when(F.col(text_col).isNull(), F.lit(0).cast("long")).otherwise(F.col(c)) for c in ("n_lines", "n_removed")}).drop("__doc", "__removed")
 
 
-#: The same rows by exact counts. Parameters: sites, words.
+#: The same rows by exact counts. Parameters: sites, gaps (words less one).
 SQL = r"""
 WITH d AS (SELECT doc_id, source, string_split(text, chr(10)) AS parts, text FROM documents),
 l AS (
-  SELECT doc_id, source, pos - 1 AS pos, regexp_replace(parts[pos], '^\s+|\s+$', '', 'g') AS line
+  SELECT doc_id, source, pos - 1 AS pos, trim(parts[pos], chr(32) || chr(9) || chr(13) || chr(11) || chr(12)) AS line
   FROM (SELECT doc_id, source, parts, unnest(generate_series(1, len(parts))) AS pos FROM d)
 ),
-w AS (SELECT * FROM l WHERE line <> '' AND len(regexp_split_to_array(line, '\s+')) >= {words}),
+w AS (SELECT * FROM l WHERE regexp_matches(line, '^(\S+\s+){{{gaps}}}\S')),
 b AS (
   SELECT line, min(struct_pack(doc_id := doc_id, pos := pos)) AS first
   FROM w GROUP BY line HAVING count(DISTINCT source) >= {sites}

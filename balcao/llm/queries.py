@@ -93,7 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
-    "op3_line_spread": line_spread.SQL.format(sites=MIN_SITES, words=MIN_LINE_WORDS),
+    "op3_line_spread": line_spread.SQL.format(sites=MIN_SITES, gaps=MIN_LINE_WORDS - 1),
     "op4_path_join": path_join.SQL.format(width=SHINGLE, threshold=SIMILARITY),
     "op10_decontamination": decontaminate.SQL.format(width=SHINGLE, threshold=SIMILARITY),
 }
