@@ -24,6 +24,7 @@ from balcao.llm.blocks import Block, leaves
 
 #: Bound of the training sample, in pages, and of the blocks of a training page; they bound the fit, not the extraction.
 MAX_TRAINING_PAGES = 240
+MAX_TRAINING_BYTES = 200_000
 MAX_TRAINING_BLOCKS = 120
 PATH_BUCKETS, WORD_BUCKETS, HIDDEN = 256, 32, 16
 INPUTS = PATH_BUCKETS + WORD_BUCKETS + 3
@@ -232,9 +233,11 @@ def train(pages: list[str], seed: int = 3) -> Labeller:
 
 def fit(pages: DataFrame, max_pages: int = MAX_TRAINING_PAGES, id_col: str = "page_id", html_col: str = "html") -> Labeller:
     """Train on at most ``max_pages`` pages with the lowest hashes of their ids."""
-    rows = pages.where(F.col(id_col).isNotNull() & (F.coalesce(F.octet_length(html_col), F.lit(0)) < 200_000))
-    rows = rows.select(F.xxhash64(id_col).alias("h"), F.col(id_col).alias("id"), F.col(html_col).alias("html")).orderBy("h", "id").limit(max_pages)
-    return train([r["html"] for r in rows.collect() if r["html"]])
+    short = pages.where(F.col(id_col).isNotNull() & (F.coalesce(F.octet_length(html_col), F.lit(0)).between(1, MAX_TRAINING_BYTES)))
+    chosen = short.select(F.col(id_col).alias("id")).distinct().orderBy(F.xxhash64("id"), "id").limit(max_pages)
+    texts = short.select(F.col(id_col).alias("id"), F.col(html_col).alias("html"))
+    rows = texts.join(F.broadcast(chosen), "id").orderBy("id", "html")
+    return train([r["html"] for r in rows.collect()])
 
 
 def extract_batch(model: Labeller, pages: list[str]) -> list[str]:
