@@ -110,7 +110,7 @@ class Job:
         destino = quality.route(avaliadas)
         self.lake.replace_days(destino.invalidas, "quarantine/registros_invalidos", dias)
         relatorio = write_intermediate(quality.report(avaliadas, "data_referencia"), "relatorio")
-        self.lake.replace_json_days(relatorio, "reports/qualidade")
+        self.lake.replace_json_days(relatorio, "reports/qualidade", dias)
         return destino.validas, relatorio
 
     def transform(self, validas: DataFrame, dias: Sequence[date]) -> tuple[DataFrame, DataFrame]:
@@ -120,10 +120,16 @@ class Job:
 
     # Gold
 
-    def silver_months(self, dias: Sequence[date]) -> DataFrame:
-        """Active Silver rows of the touched months: a partition filter on the reference date."""
-        meses = sorted({(d.year, d.month) for d in dias})
-        return self.lake.read("silver/vendas", silver.silver_schema(self.spark)).where(self._months(meses))
+    def sale_months(self, dias: Sequence[date]) -> set[tuple[int, int]]:
+        """Months of the sales that Silver holds for the given reference dates; a sale may be dated in another month."""
+        ativas = self.lake.read("silver/vendas", silver.silver_schema(self.spark)).where(c("data_referencia").isin(list(dias)))
+        return {(r["ano"], r["mes"]) for r in ativas.select("ano", "mes").distinct().collect()}
+
+    def silver_months(self, meses: Sequence[tuple[int, int]]) -> DataFrame:
+        """All active Silver rows of sales in the given months, whichever reference date brought them."""
+        codigos = [a * 100 + m for a, m in meses]
+        ativas = self.lake.read("silver/vendas", silver.silver_schema(self.spark))
+        return ativas.where((c("ano") * 100 + c("mes")).isin(codigos))
 
     @staticmethod
     def _months(meses: Sequence[tuple[int, int]]) -> Column:
@@ -137,12 +143,17 @@ class Job:
             raise FileNotFoundError(f"no Silver rows for {ano}-{mes:02d}")
         return linhas
 
-    def marts(self, dias: Sequence[date]) -> dict[str, DataFrame]:
-        vendas = self.silver_months(dias)
-        anos = self.spark.createDataFrame([(a,) for a in sorted({d.year for d in dias})], "ano int")
-        meses = sorted({d.year * 100 + d.month for d in dias})
+    def marts(self, dias: Sequence[date], antes: set[tuple[int, int]] = frozenset()) -> dict[str, DataFrame]:
+        """Write the marts of every month touched: those of the dates, of their sales, and of the sales they had ``antes``.
+
+        A mart's month holds all sales dated in it, so a sale dated in another month adds to that month and replaces nothing.
+        A touched month without sales is emptied.
+        """
+        meses = sorted({(d.year, d.month) for d in dias} | self.sale_months(dias) | set(antes))
+        vendas = self.silver_months(meses)
+        anos = self.spark.createDataFrame([(a,) for a in sorted({a for a, _ in meses})], "ano int")
         orcamento = load.monthly_budget(catalog.budgets(self.spark), anos, self.params).where(
-            (c("ano") * 100 + c("mes")).isin(meses)
+            (c("ano") * 100 + c("mes")).isin([a * 100 + m for a, m in meses])
         )
         tabelas = {
             "kpis_vendas": marts.kpi_summary(vendas),
@@ -152,7 +163,7 @@ class Job:
             "indicadores_fpa": marts.fpa(vendas, orcamento, self.params),
         }
         for nome, df in tabelas.items():
-            self.lake.replace_partitions(df, f"gold/{nome}", ["ano", "mes"])
+            self.lake.replace_months(df, f"gold/{nome}", meses)
         return tabelas
 
     # Warehouse
@@ -226,8 +237,9 @@ class Job:
         try:
             checados, bronze = self.extract(textos, dias)
             validas, relatorio = self.validate(bronze, dias)
+            antes = self.sale_months(dias)
             ativas, canceladas = self.transform(validas, dias)
-            tabelas = self.marts(dias)
+            tabelas = self.marts(dias, antes)
             totais = self._summary(checados, bronze, relatorio, ativas, canceladas, validas)
             if load_database:
                 carga = self.load_warehouse(ativas.unionByName(canceladas), checados, dias)

@@ -45,19 +45,32 @@ class Lake:
     def append_json(self, df: DataFrame, tabela: str) -> None:
         df.write.mode("append").option("ignoreNullFields", False).json(self.path(tabela))
 
-    def replace_json_days(self, df: DataFrame, tabela: str) -> None:
-        """One JSON report per reference date; a rerun replaces the date's report."""
+    def replace_json_days(self, df: DataFrame, tabela: str, dias: Sequence[date]) -> None:
+        """One JSON report per reference date; a rerun replaces the report of every given date, also by none."""
         (
             df.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("data_referencia")
             .json(self.path(tabela))
         )
+        presentes = {linha[0] for linha in df.select(F.col("data_referencia").cast("date")).distinct().collect()}
+        vazio = self.spark.createDataFrame([], T.StructType([f for f in df.schema if f.name != "data_referencia"]))
+        for dia in sorted(set(dias) - presentes):
+            vazio.write.mode("overwrite").json(f"{self.path(tabela)}/data_referencia={dia.isoformat()}")
 
     def replace_partitions(self, df: DataFrame, tabela: str, particoes: Sequence[str]) -> None:
         """Overwrite the partitions present in ``df``. The result is staged first: its plan may read the same table."""
         self._write(write_intermediate(df, tabela.replace("/", "_")), tabela, particoes)
 
+    def replace_months(self, df: DataFrame, tabela: str, meses: Sequence[tuple[int, int]]) -> None:
+        """Replace the given (year, month) partitions, which hold all of ``df``; a month without rows is emptied."""
+        pronto = write_intermediate(df, tabela.replace("/", "_"))
+        self._write(pronto, tabela, ["ano", "mes"])
+        presentes = {(r["ano"], r["mes"]) for r in pronto.select("ano", "mes").distinct().collect()}
+        vazio = self.spark.createDataFrame([], T.StructType([f for f in df.schema if f.name not in ("ano", "mes")]))
+        for ano, mes in sorted(set(meses) - presentes):
+            vazio.write.mode("overwrite").parquet(f"{self.path(tabela)}/ano={ano}/mes={mes}")
+
     def replace_table(self, df: DataFrame, tabela: str) -> None:
         """Replace a whole (dimension-sized) table from a staged copy."""
         write_intermediate(df, tabela.replace("/", "_")).write.mode("overwrite").option(
@@ -69,7 +82,7 @@ class Lake:
         rows, so callers need not recompute them."""
         pronto = write_intermediate(df, tabela.replace("/", "_"))
         dia = F.col("data_referencia")
-        antigos = self.read(tabela, df.schema).where(dia.between(min(dias), max(dias))).select(dia).distinct()
+        antigos = self.read(tabela, df.schema).where(dia.isin(list(dias))).select(dia).distinct()
         sem_linhas = antigos.join(pronto.select(dia).distinct(), "data_referencia", "left_anti").collect()
         self._write(pronto, tabela, ["data_referencia"])
         vazio = self.spark.createDataFrame([], T.StructType([f for f in df.schema if f.name != "data_referencia"]))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from balcao import schemas
 from balcao.operators import contract
 from balcao.plans import alerts, analyst, forecast, quality_status, snapshots, views
-from balcao.plans.jobs import Job, day_list, fpa_history, month_days, quality_history
+from balcao.plans.jobs import Job, day_list, fpa_history, month_days, parse_date, quality_history
 from balcao.sources import export, raw
 from balcao.sources.lake import Lake, LakeWarehouse
 from balcao.streaming.landing import start_landing
@@ -167,6 +167,27 @@ def test_correction_updates_only_some_columns(spark, tmp_path):
         job.read_month(2026, 1)
 
 
+def gold_orders(job, mes):
+    linhas = job.lake.read("gold/kpis_vendas").where(F.col("mes") == mes).collect()
+    return sum(r["total_pedidos"] for r in linhas)
+
+
+def test_stored_days_outside_the_list_and_other_months_stay(spark, tmp_path):
+    job = job_at(spark, tmp_path)
+    for dia in ("2026-01-08", "2026-01-09", "2026-01-10", "2026-02-03"):
+        land(tmp_path, envelope([sale(id_venda=f"VND-{dia}", data_venda=f"{dia}T10:00:00")]), dia)
+    job.run_range("2026-01-08", 27)
+    assert (gold_orders(job, 1), gold_orders(job, 2)) == (3, 1)
+    # A late sale dated in February, in a January file; a list of days with a gap.
+    extra = [sale(id_venda="VND-2026-01-08", data_venda="2026-01-08T10:00:00"), sale(id_venda="VND-T", data_venda="2026-02-01T09:00:00")]
+    land(tmp_path, envelope(extra), "2026-01-08")
+    dias = [d for d in day_list(parse_date("2026-01-08"), 3) if d.day != 9]
+    textos = raw.scan(spark, job.lake.path("raw"), "2026-01-08", "2026-01-10").where(~F.col("arquivo_origem").contains("dia=09"))
+    job.run_texts(textos, dias)
+    assert job.lake.read("silver/vendas").select("data_referencia").distinct().count() == 4
+    assert (gold_orders(job, 1), gold_orders(job, 2)) == (3, 2)
+
+
 def test_day_without_files_is_an_empty_success(spark, tmp_path):
     job = job_at(spark, tmp_path)
     r = job.run_day("2026-03-01").first()
