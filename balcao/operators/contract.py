@@ -36,10 +36,13 @@ DESCONTO_MAXIMO_PCT = 25
 PARCELAS_MAXIMO = 24
 UUID = r"^[0-9a-fA-F]{8}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{12}$"
 CHECKSUM_TAMANHO = 64
+#: Every character with the Unicode property White_Space.
+ESPACOS = "".join(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def text(valor: Column) -> Column:
-    return F.trim(valor)
+    """Text without white space of any kind at both ends."""
+    return F.btrim(valor, F.lit(ESPACOS))
 
 
 def integer(valor: Column) -> Column:
@@ -56,6 +59,16 @@ def timestamp(valor: Column) -> Column:
     return text(valor).try_cast("timestamp_ntz")
 
 
+def iso_timestamp(valor: Column) -> Column:
+    """Date and time as the checksum spells them: seconds always, microseconds unless zero, the offset as given, ``Z`` for zero."""
+    lido, bruto = timestamp(valor), text(valor)
+    micros = F.date_format(lido, "SSSSSS")
+    zona = F.regexp_extract(bruto, r"\d:\d{2}[\d.:]*([+-]\d{2}:?\d{2}|[Zz])$", 1)
+    zona = F.regexp_replace(F.regexp_replace(zona, r"^([+-]\d{2})(\d{2})$", "$1:$2"), r"^([+-]00:00|z)$", "Z")
+    fracao = F.when(micros != "000000", F.concat(F.lit("."), micros)).otherwise("")
+    return F.concat(F.date_format(lido, "yyyy-MM-dd'T'HH:mm:ss"), fracao, zona)
+
+
 def holds(condicao: Column) -> Column:
     """A check on a missing value fails."""
     return F.coalesce(condicao, F.lit(False))
@@ -137,7 +150,7 @@ def canonical_sale(v: Column) -> Column:
         if nome in schemas.CAMPOS_DECIMAIS:
             return _plain_number(text(bruto))
         if nome == "data_venda":
-            return F.regexp_replace(F.regexp_replace(text(bruto), " ", "T"), r"[+-]00:?00$", "Z")
+            return iso_timestamp(bruto)
         return text(bruto)
 
     return F.struct(*[campo(nome).alias(nome) for nome in sorted(schemas.CAMPOS_VENDA)])
@@ -175,21 +188,32 @@ def rejected(checados: DataFrame) -> DataFrame:
     )
 
 
+def _typed(campo: str) -> Column:
+    """A field of an accepted sale in its Bronze type, read as the contract read it."""
+    valor = c(f"v.{campo}")
+    if campo in schemas.CAMPOS_INTEIROS:
+        valor = integer(valor)
+    elif campo in schemas.CAMPOS_DECIMAIS:
+        valor = decimal(valor)
+    else:
+        valor = timestamp(valor) if campo == "data_venda" else text(valor)
+    return valor.cast(schemas.BRONZE[campo].dataType).alias(campo)
+
+
 def flatten(aceitos: DataFrame, instante: datetime, params: Params = PADRAO) -> DataFrame:
     """One typed Bronze row per sale, with its position in the file and the lineage of the envelope."""
-    tipos = {f.name: f.dataType for f in schemas.BRONZE.fields}
     vendas = aceitos.select(
         "data_referencia",
-        F.trim("cidade").alias("cidade"),
-        F.upper(F.trim("estado")).alias("estado"),
-        F.trim("turno").alias("turno_origem"),
-        F.lower(F.trim("pipeline_id")).alias("pipeline_id"),
-        F.trim("checksum").alias("arquivo_checksum"),
+        text(c("cidade")).alias("cidade"),
+        F.upper(text(c("estado"))).alias("estado"),
+        text(c("turno")).alias("turno_origem"),
+        F.lower(text(c("pipeline_id"))).alias("pipeline_id"),
+        text(c("checksum")).alias("arquivo_checksum"),
         "arquivo_origem",
         F.posexplode("vendas").alias("posicao", "v"),
     )
     return vendas.select(
-        *[F.trim(f"v.{campo}").cast(tipos[campo]).alias(campo) for campo in schemas.CAMPOS_VENDA],
+        *[_typed(campo) for campo in schemas.CAMPOS_VENDA],
         "posicao",
         "cidade",
         "estado",

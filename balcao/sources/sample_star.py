@@ -57,22 +57,19 @@ class SampleStar(Warehouse):
 
     def lines(self) -> DataFrame:
         """Order lines with their store, repeated keys included. Region and nation are fixed lists (5 and 25 rows);
-        the supplier side is left to Spark's size check.
-
-        Fewer files than cores cannot feed all tasks, so such an input is first spread by the sale key, which the
-        dedup needs anyway. Otherwise rows stay where they were read and are reduced before any shuffle."""
+        the supplier side is left to Spark's size check. One spread by the order key serves the dedup of repeated lines
+        and the join with the orders, at every input size."""
         regioes = F.broadcast(
             self.table("nation")
             .join(F.broadcast(self.table("region")), F.col("n_regionkey") == F.col("r_regionkey"))
             .select("n_nationkey", (F.col("r_regionkey") + 1).alias("loja_id"), F.col("r_name").alias("loja_nome"))
         )
         linhas = self.table("lineitem")
-        if len(linhas.inputFiles()) < self.spark.sparkContext.defaultParallelism:
-            linhas = linhas.repartition("l_orderkey", "l_linenumber")
         # Suppliers join first and alone: the size estimate of a pre-joined side would make Spark broadcast the lines.
-        return linhas.join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(
+        com_loja = linhas.join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(
             regioes, F.col("s_nationkey") == F.col("n_nationkey")
         )
+        return com_loja.repartition("l_orderkey")
 
     def unique_lines(self) -> DataFrame:
         ordem = (

@@ -85,6 +85,30 @@ def test_discount_limit_is_inclusive(spark, tmp_path):
     assert rows(checked(spark, tmp_path), "erros") == [([],)]
 
 
+@pytest.mark.parametrize(
+    ("bruto", "canonico"),
+    [
+        ({"quantidade": 1.0, "parcelas": "2"}, {"quantidade": 1, "parcelas": 2}),
+        ({"cliente_nome": "\tAna Prado\n", "categoria": "\u00a0Livros\u2003"}, {"cliente_nome": "Ana Prado", "categoria": "Livros"}),
+        ({"data_venda": "2026-01-08T10:30"}, {"data_venda": "2026-01-08T10:30:00"}),
+        ({"data_venda": "2026-01-08"}, {"data_venda": "2026-01-08T00:00:00"}),
+        ({"data_venda": "2026-01-08 10:30:00.5"}, {"data_venda": "2026-01-08T10:30:00.500000"}),
+        ({"data_venda": "2026-01-08T10:30:00.000000"}, {"data_venda": "2026-01-08T10:30:00"}),
+        ({"data_venda": "2026-01-08T10:30:00-0300"}, {"data_venda": "2026-01-08T10:30:00-03:00"}),
+        ({"data_venda": "2026-01-08T10:30:00+00:00"}, {"data_venda": "2026-01-08T10:30:00Z"}),
+    ],
+)
+def test_checksum_is_taken_over_the_read_values(spark, tmp_path, bruto, canonico):
+    doc = envelope([sale(**bruto)]) | {"checksum": envelope([sale(**canonico)])["checksum"]}
+    land(tmp_path, doc)
+    c = checked(spark, tmp_path)
+    assert rows(c, "erros") == [([],)]
+    linha = contract.flatten(contract.accepted(c), INSTANTE).first()
+    assert linha["quantidade"] == 1 and linha["data_venda"] is not None
+    for campo in ("cliente_nome", "categoria"):
+        assert linha[campo] == sale(**canonico)[campo]
+
+
 def test_one_bad_file_does_not_stop_the_others(spark, tmp_path):
     land(tmp_path, envelope(TRES_VENDAS))
     ruim = land(tmp_path, "{ isto não é json", nome="vendas_1_20260108_noite.json")
