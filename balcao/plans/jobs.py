@@ -22,7 +22,8 @@ from balcao.operators import contract, load, quality, silver
 from balcao.operators.merge import merge_by_key, only_missing, upsert_counts
 from balcao.params import PADRAO, Params
 from balcao.plans import marts
-from balcao.sources import catalog, raw
+from balcao.sources import raw
+from balcao.sources.catalog import Catalog
 from balcao.sources.lake import Lake
 
 c = F.col
@@ -59,6 +60,8 @@ def day_list(inicio: date, dias: int) -> list[date]:
 @dataclass(frozen=True)
 class Job:
     lake: Lake
+    #: Folder of the reference files: stores, products, budgets.
+    referencias: str
     params: Params = PADRAO
     run_id: str = "cli_or_backfill"
 
@@ -66,17 +69,20 @@ class Job:
     def spark(self) -> SparkSession:
         return self.lake.spark
 
+    @property
+    def catalog(self) -> Catalog:
+        return Catalog(self.spark, self.referencias)
+
     # Setup
 
     def setup(self) -> None:
         """Create the dimensions, the calendar and the base-year budgets. Repeating it changes nothing else."""
-        spark = self.spark
-        lojas = catalog.stores(spark).withColumn("updated_at", F.lit(self.params.instante).cast("timestamp"))
+        lojas = self.catalog.stores().withColumn("updated_at", F.lit(self.params.instante).cast("timestamp"))
         self.upsert("dim_loja", lojas, ["loja_id"], load.LOJA_ATUALIZAVEIS)
-        self.upsert("dim_produto", catalog.products(spark), ["produto_id"], load.PRODUTO_ATUALIZAVEIS)
-        self.upsert("dim_tempo", load.calendar_range(spark), ["data_sk"], ())
+        self.upsert("dim_produto", self.catalog.products(), ["produto_id"], load.PRODUTO_ATUALIZAVEIS)
+        self.upsert("dim_tempo", load.calendar_range(self.spark), ["data_sk"], ())
         semente = load.seed_budget(
-            self.lake.read("warehouse/dim_loja"), catalog.seed_parameters(spark), catalog.ANO_BASE, self.params
+            self.lake.read("warehouse/dim_loja"), self.catalog.seed_parameters(), self.catalog.base_year(), self.params
         )
         valores = [col for col in semente.columns if col not in ("loja_id", "ano", "mes")]
         self.upsert("fato_orcamento", semente, ["loja_id", "ano", "mes"], valores)
@@ -152,14 +158,14 @@ class Job:
         meses = sorted({(d.year, d.month) for d in dias} | self.sale_months(dias) | set(antes))
         vendas = self.silver_months(meses)
         anos = self.spark.createDataFrame([(a,) for a in sorted({a for a, _ in meses})], "ano int")
-        orcamento = load.monthly_budget(catalog.budgets(self.spark), anos, self.params).where(
+        orcamento = load.monthly_budget(self.catalog.budgets(), anos, self.params).where(
             (c("ano") * 100 + c("mes")).isin([a * 100 + m for a, m in meses])
         )
         tabelas = {
             "kpis_vendas": marts.kpi_summary(vendas),
             "faturamento_por_loja": marts.kpi_stores(vendas),
             "top_produtos": marts.kpi_products(vendas, "ano", "mes"),
-            "dre_gerencial": marts.dre(vendas, catalog.dre_parameters(self.spark), self.params),
+            "dre_gerencial": marts.dre(vendas, self.catalog.dre_parameters(), self.params),
             "indicadores_fpa": marts.fpa(vendas, orcamento, self.params),
         }
         for nome, df in tabelas.items():
@@ -172,7 +178,7 @@ class Job:
         """Merge Silver rows of the range into the star schema. Returns the counts as one row."""
         lake, p = self.lake, self.params
         self.upsert("dim_tempo", load.calendar_rows(vendas.select(c("data_venda").alias("data"))), ["data_sk"], ())
-        orcamentos = load.monthly_budget(catalog.budgets(self.spark), vendas.select("ano"), p)
+        orcamentos = load.monthly_budget(self.catalog.budgets(), vendas.select("ano"), p)
         self.upsert("fato_orcamento", orcamentos, ["loja_id", "ano", "mes"], ())
         clientes = load.customers(vendas)
         self.upsert("dim_cliente", clientes, ["cliente_id"], ["cliente_nome", "segmento"])

@@ -1,93 +1,49 @@
-"""Reference rows of the five stores, the product catalogue and the base budgets."""
+"""Stores, product catalogue and base budgets, read from the reference files of a folder."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Stores with their monthly target.
-LOJAS = (
-    (1, "Loja Centro", "São Paulo", "SP", "Sudeste", "2018-03-01", "PREMIUM", 680000, 850, 420),
-    (2, "Loja Norte", "Manaus", "AM", "Norte", "2019-07-15", "STANDARD", 290000, 510, 260),
-    (3, "Loja Campinas", "Campinas", "SP", "Sudeste", "2020-01-10", "STANDARD", 510000, 640, 330),
-    (4, "Loja Rio", "Rio de Janeiro", "RJ", "Sudeste", "2017-11-20", "PREMIUM", 820000, 920, 470),
-    (5, "Loja BH", "Belo Horizonte", "MG", "Sudeste", "2021-05-05", "STANDARD", 390000, 570, 285),
-)
-
-# Products with category, brand, base price and base cost.
-PRODUTOS = (
-    (501, "Informática", "Notebooks", "Notebook Dell Inspiron 15", "Dell", 3500, 2100),
-    (502, "Informática", "Notebooks", "Notebook Lenovo IdeaPad", "Lenovo", 2800, 1680),
-    (503, "Celulares", "Smartphones", "Samsung Galaxy A54", "Samsung", 1800, 990),
-    (504, "Celulares", "Smartphones", "iPhone 14", "Apple", 5500, 3300),
-    (505, "Eletrônicos", "TVs", "Smart TV LG 55", "LG", 2900, 1600),
-    (506, "Eletrônicos", "Áudio", "Fone JBL Bluetooth", "JBL", 350, 140),
-    (507, "Eletrodomésticos", "Linha Branca", "Geladeira Brastemp 400L", "Brastemp", 3200, 1920),
-    (508, "Eletrodomésticos", "Linha Branca", "Máquina de Lavar 11kg", "Electrolux", 1900, 1140),
-    (509, "Móveis", "Escritório", "Cadeira Gamer", "ThunderX", 1200, 600),
-    (510, "Móveis", "Escritório", "Mesa Standing Desk", "ErgoDesk", 1800, 900),
-    (511, "Acessórios", "Informática", "Mouse Logitech MX Master", "Logitech", 450, 180),
-    (512, "Acessórios", "Informática", "Teclado Mecânico", "Redragon", 380, 152),
-    (513, "Suprimentos", "Impressão", "Toner HP Original", "HP", 280, 140),
-    (514, "Suprimentos", "Escritório", "Resma de Papel A4", "Chamex", 45, 22),
-)
-
-# Base year, monthly revenue budget, budgeted margin in percent and fixed cost per store.
-ANO_BASE = 2026
-ORCAMENTOS = (
-    (1, 680000, "39.00", 45000),
-    (2, 290000, "38.00", 28000),
-    (3, 510000, "39.00", 35000),
-    (4, 820000, "40.00", 52000),
-    (5, 390000, "38.50", 30000),
-)
-
-# Margin of the warehouse seed where it differs from the configured one.
-MARGEM_SEMENTE = {5: "38.00"}
+from balcao.sources import raw
 
 # Fixed value: monthly depreciation of every store.
 DEPRECIACAO = Decimal("2500.00")
 
 
-def stores(spark: SparkSession) -> DataFrame:
-    df = spark.createDataFrame(
-        [(*linha[:5], linha[5], linha[6], Decimal(linha[7]), *linha[8:]) for linha in LOJAS],
-        "loja_id int, loja_nome string, cidade string, estado string, regiao string, data_abertura string, tier string, "
-        "meta_mensal decimal(15,2), area_m2 int, capacidade_max int",
-    )
-    return df.withColumns({"data_abertura": F.to_date("data_abertura"), "ativa": F.lit(True)})
+@dataclass(frozen=True)
+class Catalog:
+    """``pasta`` holds ``lojas.json``, ``produtos.json`` and ``orcamentos.json``; it is any path that Spark reads."""
 
+    spark: SparkSession
+    pasta: str
 
-def products(spark: SparkSession) -> DataFrame:
-    df = spark.createDataFrame(
-        [(*linha[:5], Decimal(linha[5]), Decimal(linha[6])) for linha in PRODUTOS],
-        "produto_id bigint, categoria string, subcategoria string, produto_nome string, marca string, "
-        "preco_base decimal(12,2), custo_base decimal(12,2)",
-    )
-    alvo = F.round((F.col("preco_base") - F.col("custo_base")) / F.col("preco_base") * 100, 2)
-    return df.withColumn("margem_alvo_pct", alvo.cast("decimal(5,2)"))
+    def stores(self) -> DataFrame:
+        return raw.read_stores(self.spark, f"{self.pasta}/lojas.json").withColumn("ativa", F.lit(True))
 
+    def products(self) -> DataFrame:
+        produtos = raw.read_products(self.spark, f"{self.pasta}/produtos.json")
+        alvo = F.round((F.col("preco_base") - F.col("custo_base")) / F.col("preco_base") * 100, 2)
+        return produtos.withColumn("margem_alvo_pct", alvo.cast("decimal(5,2)"))
 
-def budgets(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [(ANO_BASE, i, Decimal(receita), Decimal(margem), Decimal(fixas)) for i, receita, margem, fixas in ORCAMENTOS],
-        "ano_base int, loja_id int, receita_mensal decimal(15,2), margem_bruta_orcada decimal(5,2), "
-        "despesas_fixas_orcadas decimal(15,2)",
-    )
+    def _orcamentos(self) -> DataFrame:
+        return raw.read_budgets(self.spark, f"{self.pasta}/orcamentos.json")
 
+    def budgets(self) -> DataFrame:
+        return self._orcamentos().drop("margem_semente")
 
-def seed_parameters(spark: SparkSession) -> DataFrame:
-    linhas = [(i, Decimal(MARGEM_SEMENTE.get(i, margem)), Decimal(fixas)) for i, _, margem, fixas in ORCAMENTOS]
-    return spark.createDataFrame(
-        linhas, "loja_id int, margem_bruta_orcada decimal(5,2), despesas_fixas_orcadas decimal(15,2)"
-    )
+    def base_year(self) -> int:
+        return self._orcamentos().agg(F.max("ano_base")).first()[0]
 
+    def seed_parameters(self) -> DataFrame:
+        """Margin and fixed cost of the seeded budget; a store may state a margin of its own for it."""
+        margem = F.coalesce("margem_semente", "margem_bruta_orcada").alias("margem_bruta_orcada")
+        return self._orcamentos().select("loja_id", margem, "despesas_fixas_orcadas")
 
-def dre_parameters(spark: SparkSession) -> DataFrame:
-    """Fixed cost and depreciation per store of the managerial P&L."""
-    return spark.createDataFrame(
-        [(i, Decimal(fixas), DEPRECIACAO) for i, _, _, fixas in ORCAMENTOS],
-        "loja_id int, despesas_fixas decimal(15,2), depreciacao decimal(15,2)",
-    )
+    def dre_parameters(self) -> DataFrame:
+        """Fixed cost and depreciation per store of the managerial P&L."""
+        depreciacao = F.lit(DEPRECIACAO).cast("decimal(15,2)").alias("depreciacao")
+        return self.budgets().select("loja_id", F.col("despesas_fixas_orcadas").alias("despesas_fixas"), depreciacao)

@@ -104,7 +104,7 @@ def profile(envelopes: DataFrame) -> DataFrame:
 def read_stores(spark: SparkSession, caminho: str) -> DataFrame:
     esquema = (
         "loja_id int, loja_nome string, cidade string, estado string, regiao string, data_abertura date, "
-        "tier string, area_m2 int, capacidade_max int"
+        "tier string, meta_mensal decimal(15,2), area_m2 int, capacidade_max int"
     )
     return spark.read.schema(esquema).option("multiLine", True).json(caminho)
 
@@ -121,7 +121,7 @@ def read_budgets(spark: SparkSession, caminho: str) -> DataFrame:
     """One row per store of the nested budget document, with its base year."""
     esquema = (
         "ano int, orcamentos array<struct<loja_id int, receita_mensal decimal(15,2), "
-        "margem_bruta_orcada decimal(5,2), despesas_fixas_orcadas decimal(15,2)>>"
+        "margem_bruta_orcada decimal(5,2), despesas_fixas_orcadas decimal(15,2), margem_semente decimal(5,2)>>"
     )
     documento = spark.read.schema(esquema).option("multiLine", True).json(caminho)
     return documento.select(c("ano").alias("ano_base"), F.explode("orcamentos").alias("o")).select("ano_base", "o.*")

@@ -15,7 +15,7 @@ from balcao.functions.lineage import write_intermediate
 from balcao.operators import contract, load, quality, silver
 from balcao.params import PADRAO
 from balcao.plans import alerts, analyst, forecast, marts, quality_status, snapshots, views
-from balcao.sources import catalog, export, raw
+from balcao.sources import export, raw
 from balcao.sources.sample_star import SEGMENTO, SampleStar
 from checks.oracle_base import DRE_VALORES, aprovacao, dbl, iso_date, iso_time, pct, pct2, sql
 
@@ -1102,18 +1102,30 @@ add(
         "strftime(data, '%Y-%m-%d')", "strftime(t.data, '%Y-%m-%d')", 1
     ),
 )
+
+
+def _base_budgets(wh: SampleStar) -> DataFrame:
+    """Base-year budget of every region of the sample."""
+    return wh.spark.read.parquet(f"{wh.sf_dir}/region.parquet").selectExpr(
+        "2026 AS ano_base", "CAST(r_regionkey + 1 AS int) AS loja_id",
+        "CAST(300000 + 75000 * r_regionkey AS decimal(15,2)) AS receita_mensal",
+        "CAST(36 + 0.5 * r_regionkey AS decimal(5,2)) AS margem_bruta_orcada",
+        "CAST(24000 + 6000 * r_regionkey AS decimal(15,2)) AS despesas_fixas_orcadas",
+    )
+
+
 _FATOR = "POW(CAST(1.05 AS DOUBLE), ano - 2026)"
 add(
     "L4_orcamentos_provisionados",
-    lambda wh: load.monthly_budget(catalog.budgets(wh.spark), wh.fato("ano")),
+    lambda wh: load.monthly_budget(_base_budgets(wh), wh.fato("ano")),
     f"SELECT loja_id, ano, mes, {dbl('receita_orcada')}, CAST(margem AS DOUBLE) AS margem_bruta_orcada, "
     f"CAST(ROUND(CAST(CAST(fixas AS DOUBLE) * {_FATOR} AS DECIMAL(18,6)), 2) AS DOUBLE) AS despesas_fixas_orcadas, "
     "CAST(ROUND(receita_orcada * CAST(0.06 AS DECIMAL(2,2)), 2) AS DOUBLE) AS despesas_var_orcadas, "
     "CAST(ROUND(receita_orcada * CAST(0.22 AS DECIMAL(2,2)), 2) AS DOUBLE) AS resultado_orcado FROM ("
     "SELECT loja_id, ano, CAST(m AS INTEGER) AS mes, margem, fixas, CAST(ROUND(CAST(CAST(receita AS DOUBLE) * "
-    f"{_FATOR} AS DECIMAL(18,6)), 2) AS DECIMAL(15,2)) AS receita_orcada FROM (VALUES "
-    + ", ".join(f"({i}, {r}, {g}, {f})" for i, r, g, f in catalog.ORCAMENTOS)
-    + ") v(loja_id, receita, margem, fixas), (SELECT DISTINCT ano FROM fato) a, generate_series(1, 12) t(m))",
+    f"{_FATOR} AS DECIMAL(18,6)), 2) AS DECIMAL(15,2)) AS receita_orcada FROM (SELECT r_regionkey + 1 AS loja_id, "
+    "300000 + 75000 * r_regionkey AS receita, CAST(36 + 0.5 * r_regionkey AS DECIMAL(5,2)) AS margem, "
+    "24000 + 6000 * r_regionkey AS fixas FROM region) v, (SELECT DISTINCT ano FROM fato) a, generate_series(1, 12) t(m))",
 )
 
 

@@ -17,8 +17,8 @@ def test_accepts_valid_and_empty_files(spark, tmp_path):
 
 
 def test_checksum_over_accents_nulls_numbers_and_text(spark, tmp_path):
-    numeros = [sale(valor_unitario=3500.0, custo_unitario=2100, desconto_valor=12.5, desconto_percentual=5.0)]
-    canonico = [sale(valor_unitario="3500.0", custo_unitario="2100", desconto_valor="12.5", desconto_percentual="5.0")]
+    numeros = [sale(valor_unitario=800.0, custo_unitario=500, desconto_valor=12.5, desconto_percentual=5.0)]
+    canonico = [sale(valor_unitario="800.0", custo_unitario="500", desconto_valor="12.5", desconto_percentual="5.0")]
     doc = envelope(numeros)
     doc["checksum"] = envelope(canonico)["checksum"]
     land(tmp_path, doc)
@@ -65,7 +65,7 @@ def test_envelope_rules(spark, tmp_path, mudanca, erro):
         ({"quantidade": 1.5}, "venda.quantidade"),
         ({"valor_unitario": "x"}, "venda.valor_unitario"),
         ({"desconto_percentual": "26"}, "venda.desconto_percentual"),
-        ({"desconto_valor": "875.02"}, "venda.desconto_acima_do_limite"),
+        ({"desconto_valor": "200.02"}, "venda.desconto_acima_do_limite"),
         ({"parcelas": 25}, "venda.parcelas"),
         ({"data_venda": "nunca"}, "venda.data_venda"),
         ({"status": "DEVOLVIDA"}, "venda.status"),
@@ -81,7 +81,7 @@ def test_sale_rules(spark, tmp_path, mudanca, erro):
 
 
 def test_discount_limit_is_inclusive(spark, tmp_path):
-    land(tmp_path, envelope([sale(desconto_valor="875.01", desconto_percentual="25")]))
+    land(tmp_path, envelope([sale(desconto_valor="200.01", desconto_percentual="25")]))
     assert rows(checked(spark, tmp_path), "erros") == [([],)]
 
 
@@ -117,7 +117,7 @@ def test_one_bad_file_does_not_stop_the_others(spark, tmp_path):
     assert rows(contract.rejected(c), "erro") == [("json_ilegivel",)]
     assert contract.rejected(c).first()["arquivo_origem"].endswith(ruim)
     assert bronze.count() == 3
-    assert rows(bronze.select("estado", "posicao").orderBy("posicao"), "estado", "posicao")[0] == ("SP", 0)
+    assert rows(bronze.select("estado", "posicao").orderBy("posicao"), "estado", "posicao")[0] == ("SC", 0)
     contagem = contract.counts_by_store(bronze, raw.store_list(spark))
     assert rows(contagem, "loja_id", "registros") == [(1, 3), (2, 0), (3, 0), (4, 0), (5, 0)]
 
@@ -142,21 +142,10 @@ def test_profile_counts_sales_per_shift(spark, tmp_path):
     assert rows(perfil, "turno", "registros") == [("MANHA", 3), ("TARDE", 0)]
 
 
-def test_reference_files(spark, tmp_path):
-    caminho = tmp_path / "o.json"
-    caminho.write_text(
-        '{"ano": 2026, "orcamentos": [{"loja_id": 1, "receita_mensal": 680000.00, "margem_bruta_orcada": 39.00, '
-        '"despesas_fixas_orcadas": 45000.00}, {"loja_id": 2, "receita_mensal": 290000.00, "margem_bruta_orcada": 38.00, '
-        '"despesas_fixas_orcadas": 28000.00}]}'
-    )
-    df = raw.read_budgets(spark, str(caminho))
-    assert rows(df.select("ano_base", "loja_id", F.col("receita_mensal").cast("int").alias("r")), "ano_base", "loja_id", "r") == [
-        (2026, 1, 680000),
-        (2026, 2, 290000),
-    ]
-    lojas = tmp_path / "l.json"
-    lojas.write_text('[{"loja_id": 1, "loja_nome": "Loja Centro", "data_abertura": "2018-03-01"}]')
-    assert rows(raw.read_stores(spark, str(lojas)), "loja_id", "loja_nome") == [(1, "Loja Centro")]
-    produtos = tmp_path / "p.json"
-    produtos.write_text('[{"produto_id": 501, "produto_nome": "Notebook", "preco_base": 3500.00}]')
-    assert raw.read_products(spark, str(produtos)).first()["produto_id"] == 501
+def test_reference_files(catalogo):
+    orcamentos = catalogo.budgets().select("ano_base", "loja_id", F.col("receita_mensal").cast("int").alias("r"))
+    assert rows(orcamentos.orderBy("loja_id"), "ano_base", "loja_id", "r")[:2] == [(2026, 1, 500000), (2026, 2, 300000)]
+    assert rows(catalogo.seed_parameters().where("loja_id > 3").orderBy("loja_id"), "margem_bruta_orcada") == [(39,), (41,)]
+    loja = catalogo.stores().where("loja_id = 2").first()
+    assert (loja["loja_nome"], str(loja["data_abertura"]), loja["ativa"]) == ("Casa da Serra", "2012-02-01", True)
+    assert rows(catalogo.products().orderBy("produto_id"), "produto_id", "margem_alvo_pct")[1] == (902, 55)

@@ -20,19 +20,19 @@ from tests.conftest import INSTANTE, TRES_VENDAS, bronze_frame, envelope, land,
 
 
 @pytest.fixture(scope="module", autouse=True)
-def vazio(spark, tmp_path_factory):
+def vazio(spark, tmp_path_factory, referencias):
     """A lake with dimensions and budgets only, copied by the tests."""
     raiz = tmp_path_factory.mktemp("vazio")
-    Job(Lake(spark, str(raiz))).setup()
-    VAZIO.append(raiz)
+    Job(Lake(spark, str(raiz)), referencias).setup()
+    VAZIO[:] = raiz, referencias
 
 
 VAZIO: list = []
 
 
 def job_at(spark, raiz) -> Job:
-    shutil.copytree(VAZIO[-1], raiz, dirs_exist_ok=True)
-    return Job(Lake(spark, str(raiz)))
+    shutil.copytree(VAZIO[0], raiz, dirs_exist_ok=True)
+    return Job(Lake(spark, str(raiz)), VAZIO[1])
 
 
 def fact(job):
@@ -80,7 +80,7 @@ def test_marts_of_the_month(loaded):
     job, _ = loaded
     resumo = job.lake.read("gold/kpis_vendas").first()
     assert (resumo["total_pedidos"], resumo["competencia"]) == (24, "2026-01")
-    assert float(resumo["faturamento_total"]) == 6 * (3500 * 10 - 4 * 175)
+    assert float(resumo["faturamento_total"]) == 6 * (800 * 10 - 4 * 40)
     fpa = fpa_history(job.lake)
     assert fpa.count() == 5 and {r["status_semaforo"] for r in fpa.collect()} == {"VERMELHO"}
     assert job.lake.read("warehouse/fato_dre").count() == 3
@@ -135,7 +135,7 @@ def test_rerun_changes_nothing(loaded):
 def test_backfill_equals_single_days(spark, tmp_path, loaded):
     origem, _ = loaded
     separado = job_at(spark, tmp_path)
-    destino = Job(Lake(spark, str(tmp_path)))
+    destino = Job(Lake(spark, str(tmp_path)), VAZIO[1])
     for dia in ("2026-01-08", "2026-01-09"):
         textos = raw.scan(spark, origem.lake.path("raw"), dia, dia)
         destino.run_texts(textos, day_list(date.fromisoformat(dia), 1))
@@ -157,7 +157,7 @@ def test_correction_updates_only_some_columns(spark, tmp_path):
     f = fact(job).collect()
     assert len(f) == 1
     linha = f[0]
-    assert (linha["quantidade"], linha["canal_venda"], linha["mes"], linha["custo_unitario"]) == (1, "Loja Física", 1, 2100)
+    assert (linha["quantidade"], linha["canal_venda"], linha["mes"], linha["custo_unitario"]) == (1, "Loja Física", 1, 500)
     assert (linha["valor_unitario"], linha["valor_bruto"], linha["status"]) == (3000, 6000, "CANCELADA")
     ledger = job.lake.read("warehouse/processed_files", schemas.ARQUIVOS).first()
     assert ledger["status"] == "REPROCESSED"
@@ -271,8 +271,8 @@ def test_receipts(spark):
     fechamento = {(r["nivel"], r["turno"]): r for r in export.day_closing(vendas).collect()}
     dia = fechamento[("DIA", None)]
     assert (dia["arquivos"], dia["quantidade"], dia["concluidas"]) == (2, 6, 6)
-    assert fechamento[("TURNO", "TARDE")]["valor_bruto"] == 3500 * 3
-    assert dia["valor_liquido"] == dia["valor_bruto"] - 6 * 175
+    assert fechamento[("TURNO", "TARDE")]["valor_bruto"] == 800 * 3
+    assert dia["valor_liquido"] == dia["valor_bruto"] - 6 * 40
 
 
 def test_dates():

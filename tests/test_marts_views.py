@@ -10,7 +10,6 @@ from balcao.operators.merge import merge_by_key, only_missing, upsert_counts
 from balcao.operators.ranking import spread_ranks
 from balcao.params import Params
 from balcao.plans import analyst, marts, snapshots, views
-from balcao.sources import catalog
 from balcao.sources.warehouse import FrameWarehouse
 from tests.conftest import INSTANTE, TRES_VENDAS, bronze_frame, rows
 
@@ -22,49 +21,49 @@ def ativas(spark):
 
 def test_kpis(ativas):
     resumo = marts.kpi_summary(ativas).first()
-    assert (float(resumo["faturamento_total"]), resumo["ticket_medio"], resumo["total_pedidos"]) == (3675.0, 1837.5, 2)
+    assert (float(resumo["faturamento_total"]), resumo["ticket_medio"], resumo["total_pedidos"]) == (960.0, 480.0, 2)
     lojas = marts.kpi_stores(ativas)
     assert rows(lojas, "market_share_pct", "ranking_receita", "competencia") == [(100.0, 1, "2026-01")]
     produtos = marts.kpi_products(ativas).orderBy("produto_id")
-    assert rows(produtos, "produto_id", "ranking_receita", "ranking_volume") == [(501, 1, 1), (506, 2, 1)]
+    assert rows(produtos, "produto_id", "ranking_receita", "ranking_volume") == [(901, 1, 1), (902, 2, 1)]
 
 
-def test_dre(spark, ativas):
-    linha = marts.dre(ativas, catalog.dre_parameters(spark)).first()
-    assert float(linha["receita_liquida"]) == 3213.0
-    assert (float(linha["impostos"]), float(linha["cmv"])) == (462.0, 2240.0)
+def test_dre(spark, ativas, catalogo):
+    linha = marts.dre(ativas, catalogo.dre_parameters()).first()
+    assert float(linha["receita_liquida"]) == 840.0
+    assert (float(linha["impostos"]), float(linha["cmv"])) == (120.0, 590.0)
     assert linha["despesas_financeiras"] == 0 and linha["ebit"] < 0
 
 
-def test_dre_interest_and_unknown_store(spark):
+def test_dre_interest_and_unknown_store(spark, catalogo):
     totais = spark.createDataFrame(
         [(1, 2026, 1, Decimal("1000000.00"), Decimal("0.00"), Decimal("100000.00")), (9, 2026, 1, Decimal("10.00"), Decimal("0.00"), Decimal("1.00"))],
         "loja_id int, ano int, mes int, receita_bruta decimal(22,2), descontos decimal(22,2), cmv decimal(22,2)",
     )
-    por_loja = {r["loja_id"]: r for r in marts.dre_lines(totais, catalog.dre_parameters(spark)).collect()}
-    assert por_loja[1]["ebit"] == Decimal("679700.00")
-    assert por_loja[1]["despesas_financeiras"] == Decimal("13594.00")
+    por_loja = {r["loja_id"]: r for r in marts.dre_lines(totais, catalogo.dre_parameters()).collect()}
+    assert por_loja[1]["ebit"] == Decimal("684700.00")
+    assert por_loja[1]["despesas_financeiras"] == Decimal("13694.00")
     assert por_loja[9]["despesas_fixas"] is None and por_loja[9]["ebitda"] is None
     assert por_loja[9]["despesas_financeiras"] is None and por_loja[9]["receita_liquida"] == Decimal("8.80")
 
 
-def test_fpa(spark, ativas):
+def test_fpa(spark, ativas, catalogo):
     anos = spark.createDataFrame([(2026,)], "ano int")
-    orcamento = load.monthly_budget(catalog.budgets(spark), anos).where("mes = 1")
+    orcamento = load.monthly_budget(catalogo.budgets(), anos).where("mes = 1")
     linhas = {r["loja_id"]: r for r in marts.fpa(ativas, orcamento).collect()}
     assert len(linhas) == 5
-    assert (linhas[1]["forecast_mes"], linhas[1]["status_semaforo"]) == (113925.0, "VERMELHO")
+    assert (linhas[1]["forecast_mes"], linhas[1]["status_semaforo"]) == (29760.0, "VERMELHO")
     assert linhas[2]["dias_com_venda"] == 0 and linhas[2]["forecast_mes"] == 0.0 and linhas[2]["ranking_receita"] == 2
 
 
-def test_budgets(spark):
+def test_budgets(spark, catalogo):
     anos = spark.createDataFrame([(2026,), (2027,)], "ano int")
-    df = load.monthly_budget(catalog.budgets(spark), anos)
+    df = load.monthly_budget(catalogo.budgets(), anos)
     assert df.count() == 120
     futuro = df.where("ano = 2027 and loja_id = 5 and mes = 1").first()
-    assert (futuro["receita_orcada"], futuro["margem_bruta_orcada"]) == (Decimal("409500.00"), Decimal("38.50"))
-    semente = load.seed_budget(catalog.stores(spark), catalog.seed_parameters(spark), 2026).where("loja_id = 5 and mes = 7").first()
-    assert semente["margem_bruta_orcada"] == Decimal("38.00") and semente["resultado_orcado"] == Decimal("85800.00")
+    assert (futuro["receita_orcada"], futuro["margem_bruta_orcada"]) == (Decimal("262500.00"), Decimal("40.00"))
+    semente = load.seed_budget(catalogo.stores(), catalogo.seed_parameters(), 2026).where("loja_id = 5 and mes = 7").first()
+    assert semente["margem_bruta_orcada"] == Decimal("41.00") and semente["resultado_orcado"] == Decimal("57200.00")
 
 
 def test_calendar(spark):
@@ -209,6 +208,6 @@ def test_hot_key_dedup_is_reduced_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plano._jdf.queryExecution().toString()
 
 
-def test_params_change_results(spark, ativas):
-    caro = marts.dre(ativas, catalog.dre_parameters(spark), Params(taxa_imposto=Decimal("0.20"))).first()
-    assert float(caro["impostos"]) == 770.0
+def test_params_change_results(spark, ativas, catalogo):
+    caro = marts.dre(ativas, catalogo.dre_parameters(), Params(taxa_imposto=Decimal("0.20"))).first()
+    assert float(caro["impostos"]) == 200.0
