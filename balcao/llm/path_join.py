@@ -234,16 +234,18 @@ def _state(edges: DataFrame) -> tuple:
 def components(links: DataFrame) -> DataFrame:
     """(node, root): the lowest node of each node's component, for the nodes of ``links`` (a, b); large and small stars in turn.
 
-    A hub's links are reduced by partial minima; its join is the kind of skew that Spark splits. Rounds grow with the
-    logarithm of the longest chain.
+    A hub's links are reduced by partial minima. The minima are written before they are joined back, so that the join reads two plain
+    tables: Spark broadcasts the minima while they are small and splits the hub's rows when they are not. Rounds grow with the logarithm
+    of the longest chain.
     """
     edges = write_intermediate(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "components-0")
     before = _state(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        wide = both.where("v > u").join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        lowest = wide.groupBy("u").agg(F.min("v").alias("m"))
+        lowest = write_intermediate(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "components-low")
+        wide = edges.select(F.col("v").alias("u"), F.col("u").alias("v")).join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        wide = write_intermediate(wide.where("u <> v").distinct(), "components-wide")
+        lowest = write_intermediate(wide.groupBy("u").agg(F.min("v").alias("m")), "components-low")
         near = wide.join(lowest, "u").select("u", "v", "m")
         small = near.select("u", F.col("m").alias("v")).unionByName(near.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
         edges = write_intermediate(small.where("u <> v").distinct(), "components")
