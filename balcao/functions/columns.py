@@ -158,14 +158,24 @@ def one_decimal(col: Column) -> Column:
 
 
 def metric_label(tipo: Column, valor: Column) -> Column:
+    """Percentages with one decimal and a comma; other numbers with up to three decimals and dots between thousands."""
     percentuais = ("META", "RECEITA", "MARGEM", "CANCELAMENTO", "FORECAST")
     return (
         F.when(valor.isNull(), "Monitoramento")
-        .when(tipo.isin(*percentuais), F.concat(F.format_number(valor, 2), F.lit("%")))
-        .otherwise(F.format_number(valor, 0))
+        .when(tipo.isin(*percentuais), F.concat(F.translate(one_decimal(valor), ".", ","), F.lit("%")))
+        .otherwise(F.translate(F.call_function("format_number", valor, F.lit("#,##0.###")), ".,", ",."))
     )
 
 
+#: Every character with the Unicode property White_Space.
+ESPACOS = "".join(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
+def text(valor: Column) -> Column:
+    """Text without white space of any kind at both ends."""
+    return F.btrim(valor, F.lit(ESPACOS))
+
+
 def once(df: DataFrame, nome: str, valor: Column) -> DataFrame:
     """Add a costly column that later filters and projections reuse: the optimizer does not copy an expression out of
     a generator, so it is evaluated one time per row."""

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from balcao import schemas
-from balcao.functions.columns import once
+from balcao.functions.columns import once, text
 from balcao.params import PADRAO, Params
 
 c = F.col
@@ -36,13 +36,6 @@ DESCONTO_MAXIMO_PCT = 25
 PARCELAS_MAXIMO = 24
 UUID = r"^[0-9a-fA-F]{8}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{12}$"
 CHECKSUM_TAMANHO = 64
-#: Every character with the Unicode property White_Space.
-ESPACOS = "".join(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
-
-
-def text(valor: Column) -> Column:
-    """Text without white space of any kind at both ends."""
-    return F.btrim(valor, F.lit(ESPACOS))
 
 
 def integer(valor: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from balcao.functions.columns import calendar_columns, percent_or_zero
+from balcao.functions.columns import calendar_columns, percent_or_zero, text
 from balcao.functions.labels import ROTULOS, normalize_labels
 from balcao.params import PADRAO, Params
 from balcao.schemas import BRONZE, DINHEIRO, FATO_CHAVE
@@ -50,7 +50,7 @@ def standardize(df: DataFrame) -> DataFrame:
         "desconto_valor": DINHEIRO,
     }
     df = df.withColumns({c: F.col(c).cast(t) for c, t in tipos.items()})
-    df = df.withColumns({c: F.upper(F.trim(c)) for c in ("status", "cliente_segmento")})
+    df = df.withColumns({c: F.upper(text(F.col(c))) for c in ("status", "cliente_segmento")})
     return normalize_labels(df, {"canal_venda": ROTULOS["canal_venda"]})
 
 

@@ -70,7 +70,7 @@ def cancellation_by_store(wh: Warehouse) -> DataFrame:
 
 
 def target_vs_actual(wh: Warehouse) -> DataFrame:
-    return views.target_vs_actual(wh).orderBy("ano", "mes", "loja_id")
+    return views.target_vs_actual(wh.shared("faturamento")).orderBy("ano", "mes", "loja_id")
 
 
 def latest_dre(wh: Warehouse) -> DataFrame:

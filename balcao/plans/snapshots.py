@@ -116,7 +116,7 @@ def store_table(wh: Warehouse, ano: int, mes: int) -> DataFrame:
 
 def month_products(wh: Warehouse, ano: int, mes: int, limite: int = 10) -> DataFrame:
     return (
-        of_month(views.top_products(wh), ano, mes)
+        views.top_products(wh, limite, (ano, mes))
         .where(c("ranking_receita") <= limite)
         .select("produto_id", "produto_nome", "categoria", "receita", "volume", "ranking_receita")
         .orderBy("ranking_receita", "produto_id")

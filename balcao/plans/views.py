@@ -166,11 +166,14 @@ def product_month(wh: Warehouse) -> DataFrame:
     )
 
 
-def top_products(wh: Warehouse, limite: int = 10) -> DataFrame:
-    """Products among the month's first ``limite`` by revenue or by volume, with both ranks. Ranks cover the products
-    of the dimension; names join the few rows that remain."""
+def top_products(wh: Warehouse, limite: int = 10, competencia: tuple[int, int] | None = None) -> DataFrame:
+    """Products among the month's first ``limite`` by revenue or by volume, with both ranks, of every month or of one.
+    Ranks cover the products of the dimension; names join the few rows that remain."""
     dim = wh.dim_produto()
-    conhecidos = product_month(wh).join(dim.select("produto_id"), "produto_id", "left_semi")
+    totais = product_month(wh)
+    if competencia:
+        totais = totais.where((c("ano") == competencia[0]) & (c("mes") == competencia[1]))
+    conhecidos = totais.join(dim.select("produto_id"), "produto_id", "left_semi")
     produtos = write_intermediate(conhecidos, "produto_mes")
     ranqueados = spread_ranks(
         produtos, ["ano", "mes"], {"ranking_receita": "receita", "ranking_volume": "volume"}

@@ -6,7 +6,7 @@ joined only when a query asks for them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from balcao.functions.columns import calendar_columns, money
@@ -28,6 +28,12 @@ SEGMENTO = {
 }
 TAREFAS = ("extrair_bronze", "validar_qualidade", "transformar_silver", "carregar_datawarehouse")
 
+# Repeated lines share this key; the last in this order stays.
+LINHA_CHAVE = ("l_orderkey", "l_linenumber", "loja_id")
+LINHA_ORDEM = (
+    "l_shipdate", "l_suppkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus",
+)
+
 _DE_PEDIDO = {"status", "motivo_cancelamento", "cliente_id", "canal_venda", "cliente_nome", "cliente_segmento"}
 _DE_CLIENTE = {"cliente_nome", "cliente_segmento"}
 _DE_PRODUTO = {
@@ -40,6 +46,11 @@ def sale_time() -> Column:
     return F.expr("l_shipdate + make_dt_interval(0, int(l_orderkey % 24))")
 
 
+def mistyped_product() -> Column:
+    """The part key as a terminal without a catalogue sends it: lines taxed at 8 % carry an unlisted id."""
+    return F.when(F.col("l_tax").cast("decimal(4,2)") == F.lit("0.08").cast("decimal(4,2)"), -1 - F.col("l_partkey")).otherwise(F.col("l_partkey"))
+
+
 def shift_of(ts: Column) -> Column:
     hora = F.hour(ts)
     return F.when(hora < 12, "MANHA").when(hora < 18, "TARDE").otherwise("NOITE")
@@ -72,13 +83,7 @@ class SampleStar(Warehouse):
         return com_loja.repartition("l_orderkey")
 
     def unique_lines(self) -> DataFrame:
-        ordem = (
-            "l_shipdate", "l_suppkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount",
-            "l_returnflag", "l_linestatus",
-        )
-        return keep_last(
-            self.lines(), ("l_orderkey", "l_linenumber", "loja_id"), [F.col(c).desc() for c in ordem]
-        )
+        return keep_last(self.lines(), LINHA_CHAVE, [F.col(o).desc() for o in LINHA_ORDEM])
 
     def sales(self, linhas: DataFrame, colunas: set[str]) -> DataFrame:
         """Contract columns of the given order lines."""
@@ -146,7 +151,9 @@ class SampleStar(Warehouse):
 
     def unclean_bronze(self) -> DataFrame:
         """Order lines read as records of a terminal that does not validate: zero-based quantities and regions, lower
-        case statuses, discounts net of tax. Feeds the quality rules with rows that break them."""
+        case statuses, discounts net of tax, unlisted products; untaxed first lines lack their id, untaxed second lines
+        their date. Feeds the quality rules with rows that break them."""
+        sem_imposto = F.col("l_tax") == 0
         status = F.when(F.col("l_returnflag") == "R", "CANCELADA").when(F.col("l_returnflag") == "A", "CONCLUIDA")
         linhas = self.lines().withColumns({"loja_id": F.col("loja_id") - 1, "posicao": F.col("l_suppkey")})
         preco = (F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")) / 100).cast(DINHEIRO)
@@ -156,24 +163,24 @@ class SampleStar(Warehouse):
             linhas.join(self.table("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(self.dim_produto().select("produto_id", "custo_base"), F.col("l_partkey") == F.col("produto_id"))
             .select(
-                F.concat_ws("-", F.lit("VND"), "l_orderkey", "l_linenumber").alias("id_venda"),
+                F.when(sem_imposto & (F.col("l_linenumber") == 1), "")
+                .otherwise(F.concat_ws("-", F.lit("VND"), "l_orderkey", "l_linenumber"))
+                .alias("id_venda"),
                 "loja_id",
                 F.col("o_custkey").alias("cliente_id"),
-                "produto_id",
+                mistyped_product().alias("produto_id"),
                 (F.col("l_quantity").cast("int") - 1).alias("quantidade"),
                 preco.alias("valor_unitario"),
                 F.col("custo_base").alias("custo_unitario"),
                 F.round(bruto * taxa, 2).cast(DINHEIRO).alias("desconto_valor"),
-                sale_time().cast("string").alias("data_venda"),
+                F.when(sem_imposto & (F.col("l_linenumber") == 2), "sem data")
+                .otherwise(sale_time().cast("string"))
+                .alias("data_venda"),
                 status.otherwise("pendente").alias("status"),
                 "posicao",
             )
         )
 
-    def listed_products(self) -> DataFrame:
-        """Catalogue of the quality rules: parts up to size 45 are still listed."""
-        return self.table("part").where("p_size <= 45").select(F.col("p_partkey").alias("produto_id"))
-
     @staticmethod
     def _caminho() -> Column:
         return F.concat(
@@ -256,24 +263,20 @@ class SampleStar(Warehouse):
         return self
 
     def arquivos(self) -> DataFrame:
-        """One file per store, date and shift. Repeated sales count as invalid records of their file."""
+        """One file per store, date and shift, from one scan. Repeated sales count as invalid records of their file."""
         if self._arquivos is not None:
             return self._arquivos
-        chave = ("loja_id", "data_referencia", "turno")
-        dia = F.to_date("data_venda")
-        lidos = (
-            self.lines()
-            .withColumn("data_venda", sale_time())
-            .groupBy("loja_id", dia.alias("data_referencia"), shift_of(F.col("data_venda")).alias("turno"))
-            .agg(F.count("*").alias("registros_lidos"))
-        )
-        validos = (
-            self.fato("loja_id", "data_venda", "status")
-            .groupBy("loja_id", dia.alias("data_referencia"), shift_of(F.col("data_venda")).alias("turno"))
-            .agg(F.count("*").alias("validos"), F.count_if(F.col("status") == "CANCELADA").alias("canceladas"))
-        )
-        df = lidos.join(validos, list(chave), "left").withColumn(
-            "registros_validos", F.coalesce(F.col("validos"), F.lit(0).cast("long"))
+        versao = F.row_number().over(Window.partitionBy(*LINHA_CHAVE).orderBy(*[F.col(o).desc() for o in LINHA_ORDEM]))
+        valida = F.col("versao") == 1
+        df = (
+            self.sales(self.lines(), {"status"})
+            .withColumn("versao", versao)
+            .groupBy("loja_id", F.to_date("data_venda").alias("data_referencia"), shift_of(F.col("data_venda")).alias("turno"))
+            .agg(
+                F.count("*").alias("registros_lidos"),
+                F.count_if(valida).alias("registros_validos"),
+                F.count_if(valida & (F.col("status") == "CANCELADA")).alias("canceladas"),
+            )
         )
         ordem_turno = F.array_position(F.array(*[F.lit(t) for t in ("MANHA", "TARDE", "NOITE")]), F.col("turno"))
         data_ts = F.col("data_referencia").cast("timestamp_ntz")

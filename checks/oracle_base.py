@@ -24,7 +24,7 @@ QUALIFY ROW_NUMBER() OVER (
 """
 
 _VENDA = """
-SELECT 'VND-' || l_orderkey || '-' || l_linenumber AS id_venda, l_orderkey, l_linenumber, l_suppkey,
+SELECT 'VND-' || l_orderkey || '-' || l_linenumber AS id_venda, l_orderkey, l_linenumber, l_suppkey, l_tax,
        loja_id, loja_nome, data_venda,
        CAST(data_venda AS DATE) AS data,
        CAST(year(data_venda) AS INTEGER) AS ano, CAST(month(data_venda) AS INTEGER) AS mes,

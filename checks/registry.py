@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from balcao.functions import columns as col
@@ -16,7 +16,7 @@ from balcao.operators import contract, load, quality, silver
 from balcao.params import PADRAO
 from balcao.plans import alerts, analyst, forecast, marts, quality_status, snapshots, views
 from balcao.sources import export, raw
-from balcao.sources.sample_star import SEGMENTO, SampleStar
+from balcao.sources.sample_star import SEGMENTO, SampleStar, mistyped_product
 from checks.oracle_base import DRE_VALORES, aprovacao, dbl, iso_date, iso_time, pct, pct2, sql
 
 c = F.col
@@ -69,7 +69,7 @@ add(
     f"SELECT ano, mes, loja_id, loja_nome, {dbl('receita')}, margem_pct, meta_atingida_pct, ranking_receita, "
     "ranking_margem FROM v4",
 )
-add("V5_meta_vs_realizado", views.target_vs_actual, f"SELECT {V5} FROM v5")
+add("V5_meta_vs_realizado", lambda wh: views.target_vs_actual(wh.shared("faturamento")), f"SELECT {V5} FROM v5")
 add(
     "V6_dre_consolidada",
     lambda wh: views.consolidated_dre(wh.shared(*DRE_MEDIDAS)),
@@ -671,28 +671,26 @@ K7 = _alerta(
 _CAMPOS_K = "type, severity, entity, loja_id, title, description, action, metric_value, threshold"
 
 
-def _newest(wh: SampleStar) -> tuple[SampleStar, int, int]:
-    wh = wh.shared().with_ledger()
-    return (wh, *snapshots.latest_loaded_month(wh))
-
-
 def _rule(nome: str) -> Callable[[SampleStar], DataFrame]:
     def plan(wh: SampleStar) -> DataFrame:
-        wh, ano, mes = _newest(wh)
-        if nome in ("META", "RECEITA"):
-            linhas = alerts.store_alerts(snapshots.store_table(wh, ano, mes))
-        elif nome == "MARGEM":
-            linhas = alerts.margin_alerts(snapshots.of_month(views.store_ranking(wh), ano, mes))
-        elif nome == "CANCELAMENTO":
-            linhas = alerts.cancellation_alerts(alerts.month_cancellations(wh, ano, mes))
-        elif nome == "PIPELINE":
-            linhas = alerts.pipeline_alerts(quality_status.overview(wh))
+        if nome == "PIPELINE":
+            linhas = alerts.pipeline_alerts(quality_status.overview(wh.with_ledger()))
         elif nome == "QUALIDADE":
+            wh = wh.with_ledger()
             linhas = alerts.rejection_alerts(quality_status.overview(wh)).unionByName(
                 alerts.coverage_alerts(quality_status.coverage(wh))
             )
+        elif nome == "FORECAST":
+            linhas = alerts.forecast_alerts(_divergence(wh.shared()))
         else:
-            linhas = alerts.forecast_alerts(_divergence(wh))
+            wh = wh.shared()
+            ano, mes = snapshots.latest_loaded_month(wh)
+            if nome == "MARGEM":
+                linhas = alerts.margin_alerts(snapshots.of_month(views.store_ranking(wh), ano, mes))
+            elif nome == "CANCELAMENTO":
+                linhas = alerts.cancellation_alerts(alerts.month_cancellations(wh, ano, mes))
+            else:
+                linhas = alerts.store_alerts(snapshots.store_table(wh, ano, mes))
         return linhas.where(c("type") == nome).select(*_CAMPOS_K.split(", "))
 
     return plan
@@ -745,8 +743,9 @@ add(
         "posicao", col.metric_label(c("type"), c("metric_value")).alias("rotulo")
     ),
     "SELECT posicao, CASE WHEN metric_value IS NULL THEN 'Monitoramento' "
-    "WHEN type IN ('META','RECEITA','MARGEM','CANCELAMENTO','FORECAST') THEN format('{:,.2f}', metric_value) || '%' "
-    f"ELSE format('{{:,.0f}}', metric_value) END AS rotulo FROM ({_CENTRAL})",
+    f"WHEN type IN ('META','RECEITA','MARGEM','CANCELAMENTO','FORECAST') THEN translate({_um('metric_value')}, '.', ',') || '%' "
+    "ELSE translate(regexp_replace(regexp_replace(format('{:,.3f}', metric_value), '0+$', ''), '[.]$', ''), '.,', ',.') END "
+    f"AS rotulo FROM ({_CENTRAL})",
 )
 add(
     "K8_sem_alertas",
@@ -803,7 +802,7 @@ add(
 )
 
 
-def _silver(wh: SampleStar) -> silver.Silver:
+def _silver(wh: SampleStar, produto: Column | None = None) -> silver.Silver:
     """The whole Bronze to Silver path on sales whose file order is the order of the sample's own dedup."""
     ordem = F.concat_ws(
         "|", F.date_format("l_shipdate", "yyyyMMdd"), F.lpad(c("l_suppkey").cast("string"), 20, "0"),
@@ -811,8 +810,13 @@ def _silver(wh: SampleStar) -> silver.Silver:
         F.lpad((c("l_extendedprice") * 100).cast("long").cast("string"), 20, "0"),
         F.lpad((c("l_discount") * 100).cast("int").cast("string"), 4, "0"), c("l_returnflag"), c("l_linestatus"),
     )
-    campos = ("status", "custo_unitario")
-    bronze = wh.bronze(*campos).withColumns({"arquivo_origem": ordem, "cliente_segmento": F.lit(" varejo ")})
+    bronze = wh.bronze("status", "custo_unitario", "cliente_segmento").withColumns(
+        {
+            "arquivo_origem": ordem,
+            "cliente_segmento": F.concat(F.lit(" "), F.lower("cliente_segmento"), F.lit("\t")),
+            "produto_id": c("produto_id") if produto is None else produto,
+        }
+    )
     return silver.to_silver(bronze.withColumn("status", F.lower("status")), PADRAO.instante)
 
 
@@ -823,8 +827,8 @@ add(
         F.sum("valor_liquido").alias("valor_liquido"),
         F.sum("margem_bruta").alias("margem_bruta"),
     ),
-    "SELECT status, 'VAREJO' AS cliente_segmento, COUNT(*) AS vendas, CAST(SUM(valor_liquido) AS DOUBLE) AS valor_liquido, "
-    "CAST(SUM(margem_bruta) AS DOUBLE) AS margem_bruta FROM fato GROUP BY status",
+    "SELECT status, segmento AS cliente_segmento, COUNT(*) AS vendas, CAST(SUM(valor_liquido) AS DOUBLE) AS valor_liquido, "
+    "CAST(SUM(margem_bruta) AS DOUBLE) AS margem_bruta FROM fato LEFT JOIN dim_cliente USING (cliente_id) GROUP BY ALL",
 )
 add(
     "B4_rotulos",
@@ -878,23 +882,25 @@ add(
 
 # Quality rules
 
+_LISTADO = "CAST(l_tax AS DECIMAL(4,2)) <> CAST(0.08 AS DECIMAL(4,2))"
 _REGRAS_SQL = {
-    "id_venda_nao_nulo": "TRUE",
+    "id_venda_nao_nulo": "id_venda <> ''",
     "loja_id_valido": "loja_id BETWEEN 1 AND 5",
     "quantidade_positiva": "quantidade > 0",
     "valor_unitario_positivo": "preco > 0",
-    "data_venda_valida": "TRUE",
+    "data_venda_valida": "NOT sem_data",
     "status_permitido": "flag IN ('R', 'A')",
     "desconto_nao_negativo": "desconto >= 0",
     "desconto_razoavel": "CAST(quantidade AS DOUBLE) * CAST(preco AS DOUBLE) > 0 AND CAST(desconto AS DOUBLE) <= "
     "CAST(quantidade AS DOUBLE) * CAST(preco AS DOUBLE) * CAST(0.30 AS DOUBLE)",
-    "produto_id_valido": "p_size <= 45",
+    "produto_id_valido": _LISTADO,
     "cliente_id_positivo": "o_custkey > 0",
     "custo_menor_que_preco": "custo < preco",
 }
 _SUJO = (
-    "(SELECT 'VND-' || l_orderkey || '-' || l_linenumber AS id_venda, CAST(loja_id - 1 AS INTEGER) AS loja_id, "
-    "l_suppkey AS posicao, o_custkey, p_size, l_returnflag AS flag, CAST(l_quantity AS INTEGER) - 1 AS quantidade, "
+    "(SELECT CASE WHEN l_tax = 0 AND l_linenumber = 1 THEN '' ELSE 'VND-' || l_orderkey || '-' || l_linenumber END AS "
+    "id_venda, l_tax = 0 AND l_linenumber = 2 AS sem_data, l_tax, CAST(loja_id - 1 AS INTEGER) AS loja_id, "
+    "l_suppkey AS posicao, o_custkey, l_returnflag AS flag, CAST(l_quantity AS INTEGER) - 1 AS quantidade, "
     "CAST(floor(l_extendedprice * 100 / l_quantity) / 100 AS DECIMAL(12,2)) AS preco, "
     "ROUND(CAST(p_retailprice AS DECIMAL(12,2)) * CAST(1.6 AS DECIMAL(2,1)), 2) AS custo, "
     "ROUND(CAST(l_extendedprice AS DECIMAL(12,2)) * (CAST(l_discount AS DECIMAL(4,2)) - CAST(l_tax AS DECIMAL(4,2))), 2) "
@@ -911,7 +917,7 @@ _AVALIADAS = (
 
 
 def _evaluated(wh: SampleStar) -> DataFrame:
-    return quality.evaluate(wh.unclean_bronze(), wh.listed_products())
+    return quality.evaluate(wh.unclean_bronze(), wh.dim_produto())
 
 
 add(
@@ -1158,10 +1164,10 @@ add("L7_merge_dre", _dre_merge, f"SELECT {DRE} FROM dre")
 
 
 def _known(wh: SampleStar) -> DataFrame:
-    """Fact rows per store when only listed products are known, and the rows dropped for an unknown product."""
-    vendas = write_intermediate(_silver(wh).todas(), "silver")
+    """Fact rows per store; sales of a product that is not listed are dropped."""
+    vendas = write_intermediate(_silver(wh, mistyped_product()).todas(), "silver")
     clientes = wh.dim_cliente()
-    linhas = load.fact_rows(vendas, wh.dim_loja(), wh.listed_products(), clientes, PADRAO.instante)
+    linhas = load.fact_rows(vendas, wh.dim_loja(), wh.dim_produto(), clientes, PADRAO.instante)
     return linhas.groupBy("loja_id").agg(F.count("*").alias("vendas"), F.sum("valor_liquido").alias("valor_liquido"))
 
 
@@ -1169,5 +1175,5 @@ add(
     "D1_fatos_com_dimensoes",
     _known,
     "SELECT loja_id, COUNT(*) AS vendas, CAST(SUM(valor_liquido) AS DOUBLE) AS valor_liquido FROM fato "
-    "JOIN part ON p_partkey = produto_id AND p_size <= 45 GROUP BY loja_id",
+    f"JOIN part ON p_partkey = produto_id WHERE {_LISTADO} GROUP BY loja_id",
 )
