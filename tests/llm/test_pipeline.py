@@ -1,6 +1,15 @@
+import hashlib
+import struct
+
+import duckdb
+import public_tokenizers
+from tokenizers import Tokenizer
+
 import corpus_pipeline
-from balcao.llm import decontaminate, path_join
+from balcao.llm import decontaminate, line_spread, path_join, quality
+from balcao.llm.queries import MIN_LINE_WORDS, MIN_SITES, SHINGLE, SIMILARITY
 from balcao.llm.tables import table
+from test_copies import brute
 
 SF = "/root/testdata/sf0.001"
 
@@ -25,3 +34,48 @@ def test_rejected_documents_go(spark, monkeypatch):
     docs = table(spark, SF, "documents")
     monkeypatch.setattr(corpus_pipeline, "KEEP_SCORE", 2.0)
     assert corpus_pipeline.STAGES[0][1](spark, docs, SF).count() == 0
+
+
+def test_run_equals_brute_force(spark):
+    """Every stage again without its method: scores one by one, SQL over all lines and shingles, all pairs, the public library."""
+    documents, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    model = quality.fit(documents, labels)
+    rows = [tuple(r) for r in documents.select("doc_id", "text", "source").collect()]
+    rows = [r for r in rows if model.score(r[1] or "") >= corpus_pipeline.KEEP_SCORE]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
+    cut = con.execute(line_spread.SQL.format(sites=MIN_SITES, gaps=MIN_LINE_WORDS - 1)).fetchall()
+    texts = {doc: text for doc, _, _, text in cut}
+    classes = brute([(doc, text or "") for doc, text in texts.items()], SIMILARITY)
+    texts = {doc: text for doc, text in texts.items() if classes[doc, text or ""][0] == doc}
+    con.execute("DELETE FROM documents")
+    con.executemany("INSERT INTO documents VALUES (?, ?, NULL)", list(texts.items()))
+    con.execute(f"CREATE VIEW benchmark AS SELECT * FROM '{SF}/benchmark.parquet'")
+    leaked = {r[0] for r in con.execute(decontaminate.SQL.format(width=SHINGLE, threshold=SIMILARITY)).fetchall()}
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = []
+    for doc in sorted(texts.keys() - leaked):
+        ids = library.encode(texts[doc] or "", add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        want.append((doc, len(ids), *(hashlib.sha256(b).hexdigest() for b in (struct.pack(f"<{len(ids)}I", *ids), decoded.encode()))))
+    assert leaked and len(rows) > len(texts) > len(want) > 0
+    assert sorted(map(tuple, corpus_pipeline.run(spark, SF).collect())) == want
+
+
+def test_stages_take_odd_rows(spark, docs, empty, monkeypatch):
+    """Nulls, empty and long texts, repeated rows, clashing extra columns and empty tables in every stage."""
+    monkeypatch.setattr(corpus_pipeline, "KEEP_SCORE", 0.0)
+    stages = dict(corpus_pipeline.STAGES)
+    counts = {}
+    for name, stage in stages.items():
+        columns = list(corpus_pipeline.COLUMNS) if name != "tokens" else ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+        got = stage(spark, docs, SF)
+        assert got.columns == columns
+        counts[name] = (got.count(), got.where("doc_id is null").count())
+        assert stage(spark, empty, SF).count() == 0
+    # The near copies lose a second row of document 31, 31 itself, 32 and 33.
+    n = docs.count()
+    assert counts == {name: (n - 4 if name == "near copies" else n, 2) for name in stages}
+    nulls = stages["lines"](spark, docs, SF).where("doc_id = 40").first()
+    assert nulls["text"] is None and nulls["n_chars"] == 0
