@@ -830,6 +830,12 @@ add(
     "SELECT status, segmento AS cliente_segmento, COUNT(*) AS vendas, CAST(SUM(valor_liquido) AS DOUBLE) AS valor_liquido, "
     "CAST(SUM(margem_bruta) AS DOUBLE) AS margem_bruta FROM fato LEFT JOIN dim_cliente USING (cliente_id) GROUP BY ALL",
 )
+add(
+    "A12_canceladas",
+    lambda wh: _silver(wh).canceladas.select("id_venda", "loja_id", "status", "motivo_cancelamento", "valor_liquido"),
+    f"SELECT id_venda, loja_id, status, 'Devolução' AS motivo_cancelamento, {dbl('valor_liquido')} FROM fato "
+    "WHERE status = 'CANCELADA'",
+)
 add(
     "B4_rotulos",
     lambda wh: wh.table("customer")
@@ -985,6 +991,32 @@ add(
         "AS data,", "AS data_referencia,", 1
     ),
 )
+
+
+def _broken(wh: SampleStar) -> DataFrame:
+    """Raw files with one fault for each of the first four stores: cut text, wrong version, wrong count, wrong checksum."""
+    loja, texto = c("loja_pasta"), c("value")
+    return _texts(wh).withColumn(
+        "value",
+        F.when(loja == 1, F.expr("left(value, length(value) - 20)"))
+        .when(loja == 2, F.regexp_replace(texto, '"schema_version":"[^"]*"', '"schema_version":"0"'))
+        .when(loja == 3, F.regexp_replace(texto, '"quantidade_registros":', '"quantidade_registros":9'))
+        .when(loja == 4, F.regexp_replace(texto, '"checksum":"[^"]*"', f'"checksum":"{"0" * 64}"'))
+        .otherwise(texto),
+    )
+
+
+_ERROS = (
+    "list_filter([CASE WHEN loja_id = 2 THEN 'schema_version' END, CASE WHEN sem_cliente > 0 THEN 'venda.cliente_id' END, "
+    "CASE WHEN sem_produto > 0 THEN 'venda.produto_id' END], lambda x: x IS NOT NULL)"
+)
+add(
+    "A3_arquivos_quebrados",
+    lambda wh: contract.rejected(contract.check(raw.parse(_broken(wh))).withColumn("erros", F.array_sort("erros"))),
+    "SELECT * FROM (SELECT strftime(data, '%Y-%m-%d') AS data_referencia, arquivo_origem, CASE WHEN loja_id = 1 THEN "
+    f"'json_ilegivel' WHEN len({_ERROS}) > 0 THEN array_to_string({_ERROS}, '; ') WHEN loja_id = 3 THEN "
+    f"'contagem_divergente' WHEN loja_id = 4 THEN 'checksum_invalido' END AS erro FROM {_ARQ}) WHERE erro IS NOT NULL",
+)
 add(
     "A6_vendas_achatadas",
     lambda wh: contract.flatten(contract.accepted(_checked(wh)), PADRAO.instante).select(
@@ -1135,6 +1167,24 @@ add(
 )
 
 
+def _seed(wh: SampleStar) -> DataFrame:
+    base = _base_budgets(wh)
+    metas = base.select("loja_id", c("receita_mensal").alias("meta_mensal"))
+    return load.seed_budget(metas, base.select("loja_id", "margem_bruta_orcada", "despesas_fixas_orcadas"), 2026)
+
+
+add(
+    "L10_orcamento_semente",
+    _seed,
+    "SELECT CAST(r_regionkey + 1 AS INTEGER) AS loja_id, CAST(2026 AS INTEGER) AS ano, CAST(m AS INTEGER) AS mes, "
+    "CAST(meta AS DOUBLE) AS receita_orcada, 36 + CAST(0.5 AS DOUBLE) * r_regionkey AS margem_bruta_orcada, "
+    "CAST(24000 + 6000 * r_regionkey AS DOUBLE) AS despesas_fixas_orcadas, "
+    "CAST(ROUND(meta * CAST(0.06 AS DECIMAL(2,2)), 2) AS DOUBLE) AS despesas_var_orcadas, "
+    "CAST(ROUND(meta * CAST(0.22 AS DECIMAL(2,2)), 2) AS DOUBLE) AS resultado_orcado "
+    "FROM (SELECT *, CAST(300000 + 75000 * r_regionkey AS DECIMAL(15,2)) AS meta FROM region), generate_series(1, 12) t(m)",
+)
+
+
 def _ledger_merge(wh: SampleStar) -> DataFrame:
     """Files seen a second time with a checksum that counts no rejected rows: it differs where some were."""
     guardados = wh.with_ledger().arquivos()
