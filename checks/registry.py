@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -749,7 +749,7 @@ add(
 )
 add(
     "K8_sem_alertas",
-    lambda wh: alerts.calm_alert(alerts.cancellation_alerts(_impossible(wh))).select(*_CAMPOS_K.split(", ")),
+    lambda wh: _calm(wh).select(*_CAMPOS_K.split(", ")),
     f"SELECT 'OPERACAO' AS type, 'INFO' AS severity, 'Rede' AS entity, {_NULO} AS loja_id, "
     f"'Nenhum alerta crítico identificado' AS title, '{alerts.DESCRICAO_OPERACAO}' AS description, "
     f"'{alerts.ACAO_OPERACAO}' AS action, CAST(NULL AS DOUBLE) AS metric_value, CAST(NULL AS VARCHAR) AS threshold "
@@ -757,9 +757,11 @@ add(
 )
 
 
-def _impossible(wh: SampleStar) -> DataFrame:
-    """Store-months with more cancellations than records: always none, so the calm alert must appear."""
-    return wh.loja_mes_status().where("canceladas > registros").join(wh.lojas(), "loja_id")
+def _calm(wh: SampleStar) -> DataFrame:
+    """The cancellation rule on all stores with a limit that none can reach, so the calm alert must appear."""
+    wh = wh.shared()
+    limites = replace(PADRAO, cancelamento_medio=100.5, cancelamento_alto=100.5)
+    return alerts.calm_alert(alerts.cancellation_alerts(alerts.month_cancellations(wh, *snapshots.latest_loaded_month(wh)), limites))
 
 
 # Silver
