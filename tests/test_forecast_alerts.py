@@ -156,7 +156,9 @@ def test_order_ids_and_counts(spark):
     calmo = alerts.finish(nada.unionByName(alerts.calm_alert(nada)), "2026-01").first()
     assert (calmo["id"], calmo["severity"], calmo["route"]) == ("2026-01-OPERACAO-rede-1", "INFO", "/qualidade")
     rotulos = fim.select(metric_label(F.lit("PIPELINE"), F.col("metric_value")).alias("p"), metric_label(F.lit("META"), F.col("metric_value")).alias("m"))
-    assert rotulos.first()["m"] == "-50.00%" and rotulos.first()["p"] == "-50"
+    assert rotulos.first()["m"] == "-50,0%" and rotulos.first()["p"] == "-50"
+    grande = fim.select(metric_label(F.lit("PIPELINE"), F.lit(1234567.25)).alias("p"), metric_label(F.lit("META"), F.lit(1234.56)).alias("m"))
+    assert tuple(grande.first()) == ("1.234.567,25", "1234,6%")
 
 
 def control(spark, arquivos, execucoes):
