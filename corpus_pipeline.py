@@ -29,8 +29,11 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that many sources share stay where they are first; texts and their lengths shrink, documents stay."""
-    cut = line_spread.dedup_lines(docs, MIN_SITES, MIN_LINE_WORDS)
+    """Lines that many sources and texts share stay where they are first; texts and their lengths shrink, documents stay.
+
+    Copies and near copies of a text count as one text: the next stage decides on them as a whole.
+    """
+    cut = line_spread.dedup_lines_of_texts(docs, MIN_SITES, MIN_LINE_WORDS, SIMILARITY, SHINGLE)
     n_chars = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return cut.withColumn("n_chars", n_chars).select(*COLUMNS)
 

@@ -9,6 +9,7 @@ import corpus_pipeline
 from balcao.llm import decontaminate, line_spread, path_join, quality
 from balcao.llm.queries import MIN_LINE_WORDS, MIN_SITES, SHINGLE, SIMILARITY
 from balcao.llm.tables import table
+from conftest_llm import words
 from test_copies import brute
 
 SF = "/root/testdata/sf0.001"
@@ -79,3 +80,25 @@ def test_stages_take_odd_rows(spark, docs, empty, monkeypatch):
     assert counts == {name: (n - 4 if name == "near copies" else n, 2) for name in stages}
     nulls = stages["lines"](spark, docs, SF).where("doc_id = 40").first()
     assert nulls["text"] is None and nulls["n_chars"] == 0
+
+
+def test_copies_over_many_sources_leave_one_whole_text(spark):
+    """Exact and near copies over 12 sources, and a line of all documents that is boilerplate; one text of each group stays whole."""
+    line = "a line that every document shows"
+    exact, near = ([words(s + k, 30) for k in range(10)] for s in (2_000, 3_000))
+    rows = [(i, "\n".join([words(4_000 + i, 40), line, words(4_100 + i, 40)]), f"s{i % 12}") for i in range(24)]
+    rows += [(100 + i, "\n".join([*exact, line]), f"s{i}") for i in range(12)]
+    for i in range(12):
+        changed = near[i % 10].split(" ")
+        changed[3 + i // 10] = f"changed{i}"
+        rows.append((200 + i, "\n".join([*near[: i % 10], " ".join(changed), *near[i % 10 + 1 :], line]), f"s{i}"))
+    docs = spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    stages = dict(corpus_pipeline.STAGES)
+    cut = stages["lines"](spark, docs, SF)
+    cut = spark.createDataFrame(cut.collect(), cut.schema)
+    assert sorted(r["doc_id"] for r in cut.where(f"contains(text, '{line}')").collect()) == [0]
+    kept = {r["doc_id"]: r["text"] for r in stages["near copies"](spark, cut, SF).collect()}
+    whole = {i: t for i, t, _ in rows}
+    assert sorted(kept) == [*range(24), 100, 200]
+    assert kept[0] == whole[0] and kept[1] == whole[1].replace(f"{line}\n", "")
+    assert all(kept[i] == whole[i].removesuffix(f"\n{line}") for i in (100, 200))
