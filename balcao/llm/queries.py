@@ -23,7 +23,7 @@ from balcao.llm import (
 from balcao.llm.package import shipped
 from balcao.llm.tables import table
 
-MIN_SITES, MIN_LINE_WORDS = 10, 3
+MIN_SITES, MIN_LINE_WORDS = 5, 3
 SIMILARITY, SHINGLE = 0.8, 5
 SHARDS = 16
 

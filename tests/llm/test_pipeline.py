@@ -102,3 +102,15 @@ def test_copies_over_many_sources_leave_one_whole_text(spark):
     assert sorted(kept) == [*range(24), 100, 200]
     assert kept[0] == whole[0] and kept[1] == whole[1].replace(f"{line}\n", "")
     assert all(kept[i] == whole[i].removesuffix(f"\n{line}") for i in (100, 200))
+
+
+def test_lines_of_few_and_hot_sources_go(spark):
+    """A passage in five sources, and one whose documents lie mostly in a hot source; one in two sources stays."""
+    few, hot, rare = (words(s, 60) for s in (5_001, 5_002, 5_003))
+    rows = [(i, few, f"s{i}") for i in range(5)] + [(10 + i, hot, f"s{max(0, i - 15)}") for i in range(20)]
+    rows += [(40 + i, rare, f"s{i % 2}") for i in range(12)]
+    rows = [(i, "\n".join([words(6_000 + i, 30), t, words(6_100 + i, 30)]), s) for i, t, s in rows]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for cut in (corpus_pipeline.drop_shared_lines(spark, docs, SF), line_spread.dedup_lines(docs, MIN_SITES, MIN_LINE_WORDS)):
+        got = {r["doc_id"]: r["text"] for r in cut.collect()}
+        assert {i for i, t in got.items() if few in t or hot in t or rare in t} == {0, 10, *range(40, 52)}
