@@ -352,13 +352,22 @@ def join(
 
 
 def first_of_groups(docs: DataFrame, threshold: float = 0.8, width: int = WIDTH) -> DataFrame:
-    """One row of ``docs`` for each group of near copies, the one with the lowest ``doc_id``; of rows that repeat it, the one whose
-    text has the lowest hash. Rows with a null id stay.
+    """One row of ``docs`` for each group of near copies, the one with the lowest ``doc_id`` and then the lowest text hash; null ids come last.
+
+    Rows that share an id, or have none, are judged each on its own text. Rows of the same id and text are one; rows without id and words stay.
     """
-    first = join(docs, threshold, width).where("doc_id = class_id").select("doc_id").distinct()
-    same = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    kept = docs.join(first, "doc_id", "left_semi").withColumn("__row", F.row_number().over(same)).where("__row = 1").drop("__row")
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    key = F.xxhash64("doc_id", "text").alias("__key")
+    rows = docs.select("doc_id", "text", key, F.xxhash64("text").alias("__version"))
+    classes = join(rows, threshold, width, id_col="__key").select("__key", "class_id").distinct()
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__version")).alias("least")
+    first = rows.select("__key", "doc_id", "__version").distinct().join(classes, "__key").groupBy("class_id").agg(least)
+    first = first.select(F.col("least.doc_id").alias("__id"), F.col("least.__version").alias("__first")).distinct()
+    wordless = F.col("doc_id").isNull() & ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[a-zA-Z0-9]|[^\x00-\x7F]")
+    judged = docs.where(~wordless).withColumn("__version", F.xxhash64("text"))
+    kept = judged.join(first, judged["doc_id"].eqNullSafe(first["__id"]) & (judged["__version"] == first["__first"]), "left_semi")
+    same = Window.partitionBy("doc_id", "__version").orderBy("text")
+    kept = kept.withColumn("__row", F.row_number().over(same)).where("__row = 1").drop("__row", "__version")
+    return kept.unionByName(docs.where(wordless))
 
 
 #: The same rows by an exact join of all shingles. Parameters: width, threshold.

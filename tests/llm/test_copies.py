@@ -59,6 +59,17 @@ def test_one_of_each_group_stays(docs):
     assert kept.count(None) == 2
 
 
+def test_rows_that_share_an_id_or_have_none_are_judged_alone(spark):
+    a, b, c, d = (words(s, 40) for s in (6_001, 6_002, 6_003, 6_004))
+    rows = [(1, a), (5, a), (5, b), (6, c), (6, d), (None, a), (None, "x " + words(6_005, 50)), (None, words(6_005, 50)), (None, ""), (None, ""), (None, None)]
+    rows += [(7, words(6_006, 40))] * 2 + [(8, ""), (8, "")]
+    got = path_join.first_of_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = sorted(map(tuple, got.collect()), key=str)
+    unnamed = [t for i, t in got if i is None]
+    assert [r for r in got if r[0] is not None] == sorted([(1, a), (5, b), (6, c), (6, d), (7, words(6_006, 40)), (8, "")], key=str)
+    assert len(unnamed) == 4 and sum(words(6_005, 50) in (t or "") for t in unnamed) == 1 and a not in unnamed
+
+
 def test_extinction_gives_the_recall():
     runs = path_join.runs_for(0.99999, 0.8)
     assert path_join.extinction(0.8) ** runs <= 1e-5 < path_join.extinction(0.8) ** (runs - 1)
