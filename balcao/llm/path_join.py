@@ -209,12 +209,12 @@ def propose(classes: DataFrame, threshold: float, recall: float) -> DataFrame:
     level = write_intermediate(_split(classes, runs_for(recall, threshold)), "paths-1")
     found = None
     for depth in range(1, DEPTH + 1):
-        who = F.sum(F.xxhash64("rep").bitwiseAND(F.lit((1 << 40) - 1))).alias("who")
-        sizes = level.groupBy("path", "above").agg(F.count("*").alias("size"), who)
+        who, whose = F.bit_xor(F.xxhash64("rep")).alias("who"), F.bit_xor(F.xxhash64(F.lit("whose"), "rep")).alias("whose")
+        sizes = level.groupBy("path", "above").agg(F.count("*").alias("size"), who, whose)
         sizes = write_intermediate(sizes.where("size > 1"), "paths-sizes")
         split = (F.col("size") > LEAF) & (F.col("size") < F.col("above") * DENSE) & F.lit(depth < DEPTH)
         # Buckets of the same members, as copies make in every run, are looked at once.
-        ripe = sizes.where(~split).groupBy("size", "who").agg(F.min("path").alias("path"))
+        ripe = sizes.where(~split).groupBy("size", "who", "whose").agg(F.min("path").alias("path"))
         parts = F.when(F.col("size") <= LEAF, 1).otherwise(F.ceil(F.col("size") / PART)).alias("parts")
         met = level.join(ripe.select("path", parts), "path").join(classes, "rep")
         links = write_intermediate(_proposals(_blocks(met, "path", [_packed("rep"), F.col("sketch")]), threshold - SLACK), "paths-links")

@@ -70,6 +70,18 @@ def test_rows_that_share_an_id_or_have_none_are_judged_alone(spark):
     assert len(unnamed) == 4 and sum(words(6_005, 50) in (t or "") for t in unnamed) == 1 and a not in unnamed
 
 
+def test_buckets_whose_short_sums_agree_are_both_looked_at(spark):
+    """Two pairs of classes whose 40-bit hashes have the same sum."""
+    h = np.array([r[0] for r in spark.range(6_000).select(F.xxhash64("id").bitwiseAND(F.lit((1 << 40) - 1))).collect()])
+    a, b = np.triu_indices(len(h), 1)
+    order = np.argsort(h[a] + h[b], kind="stable")
+    at = np.flatnonzero(np.diff((h[a] + h[b])[order]) == 0)[0]
+    pairs = [(int(a[k]), int(b[k])) for k in order[at : at + 2]]
+    rows = [(rep, bytearray(path_join.sketch(path_join.shingle_set(words(7_000 + k, 50))).tobytes())) for k, pair in enumerate(pairs) for rep in pair]
+    links = path_join.propose(spark.createDataFrame(rows, "rep long, sketch binary"), 0.8, 0.99999)
+    assert {tuple(sorted(r)) for r in links.collect()} == set(pairs) and len({i for p in pairs for i in p}) == 4
+
+
 def test_extinction_gives_the_recall():
     runs = path_join.runs_for(0.99999, 0.8)
     assert path_join.extinction(0.8) ** runs <= 1e-5 < path_join.extinction(0.8) ** (runs - 1)
