@@ -109,8 +109,9 @@ def _leads(found: DataFrame, common: DataFrame, texts: DataFrame, threshold: flo
     both = with_shingles(both, "text", width).withColumn("a", F.array_distinct("hashes")).drop("hashes")
     both = with_shingles(both, "lead_text", width).withColumn("b", F.array_distinct("hashes"))
     both = both.select("doc", "version", "lead_version", F.size("a").alias("n"), F.size("b").alias("m"), F.size(F.array_intersect("a", "b")).alias("k"))
-    alike = F.col("k") >= threshold * (F.col("n") + F.col("m") - F.col("k")) - 1e-9
-    return write_intermediate(both.where(alike).select("doc", "version", "lead_version").distinct(), "line-near")
+    # A filter here would be pushed below the steps that make the shingles, and find the words again for every shingle.
+    counted = write_intermediate(both, "line-near")
+    return counted.where(F.col("k") >= threshold * (F.col("n") + F.col("m") - F.col("k")) - 1e-9).select("doc", "version", "lead_version").distinct()
 
 
 def dedup_lines_of_texts(
