@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from balcao.llm import (
+    alignment,
     block_labeller,
+    chunked_bpe,
     decontaminate,
     graph_search,
     line_spread,
     path_join,
+    periodic_runs,
     quality,
     speculative_bpe,
     token_counts,
@@ -79,6 +82,20 @@ def leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), SIMILARITY, SHINGLE)
 
 
+def word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(periodic_runs.find_runs(table(spark, sf_dir, "documents"), periodic_runs.replay_tenth))
+
+
+def chunk_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chunked_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def tokenizer_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, second = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.aligned(table(spark, sf_dir, "documents"), first, second)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": shipped(token_count),
     "op2_graph_neighbours": shipped(nearest_neighbours),
@@ -90,6 +107,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": shipped(main_text),
     "op9_quality": shipped(quality_score),
     "op10_decontamination": shipped(leaks),
+    "op11_periodic_runs": shipped(word_runs),
+    "op12_chunked_bpe": shipped(chunk_round_trip),
+    "op13_alignment": shipped(tokenizer_links),
 }
 
 ORACLES: dict[str, str] = {
