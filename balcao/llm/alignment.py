@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from balcao.functions.lineage import write_intermediate
-from balcao.llm.merging import byte_alphabet
+from balcao.llm.merging import load
+from balcao.llm.token_counts import PATTERN
 
 #: Texts are worked on in slices of about so many characters; a longer text is cut between words into several slices.
 SLICE_CHARS = 1_000_000
@@ -25,8 +26,8 @@ SLICE_CHARS = 1_000_000
 BLOCK_LINKS = 4_000_000
 #: Documents are looked up in bundles of about so many distinct links, closed with a document.
 BUNDLE_LINKS = 400_000
-#: Stretches that a worker remembers, and their length; speed only, not results.
-CACHE_STRETCHES, CACHED_LENGTH = 250_000, 48
+#: Stretches that a worker remembers, and their ids; speed only, not results.
+KNOWN_STRETCHES, KNOWN_IDS = 600_000, 8_000_000
 
 #: Both tokenizers cut a text before a blank, tab or line feed that follows a character other than white space: no merge of the
 #: first crosses into white space, and no piece of the second holds one of them after another character (``Pair`` checks this).
@@ -38,45 +39,91 @@ class Pair:
     """The two tokenizers: ids of stretches of text, and the bytes of each id."""
 
     def __init__(self, first: str, second: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(first)
-        self.a.encode_special_tokens = True
         self.b = SentencePieceProcessor(model_file=second)
-        value = {c: i for i, c in enumerate(byte_alphabet())}
-        entry = [self.a.id_to_token(i) or "" for i in range(self.a.get_vocab_size())]
         piece = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         if any(c in p.lstrip(BLANK) for p in piece for c in (BLANK, "\n", "\t")):
             raise ValueError("pieces that go on after white space: the second vocabulary does not cut before blanks")
+        self.encode_a, self.bytes_a = _byte_level(first)
+        self.bytes_b = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(piece)]
         self.size_b = len(piece)
-        if len(entry) * self.size_b >= 1 << 31:
+        if len(self.bytes_a) * self.size_b >= 1 << 31:
             raise ValueError("a pair of ids must fit in 31 bits")
-        self.bytes_a = pa.array([bytes([value[c] for c in t]) if all(c in value for c in t) else t.encode() for t in entry], pa.large_binary())
-        self.bytes_b = pa.array(
-            [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(piece)], pa.large_binary()
-        )
-        self.length_a, self.length_b = (pc.binary_length(x).cast(pa.int64()) for x in (self.bytes_a, self.bytes_b))
+        self.length_a, self.length_b = (pa.array(list(map(len, x)), pa.int64()) for x in (self.bytes_a, self.bytes_b))
         self.blank = self.b.piece_to_id(BLANK)
-        self.known: dict[str, tuple[list[int], list[int]]] = {}
-
-    def stretches(self, words: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids of both tokenizers for each stretch; the second's own leading blank stands for the blank of the stretch."""
-        known = self.known
-        new = [w for w in words if w not in known]
-        if not new:
-            return [known[w] for w in words]
-        a = [e.ids for e in self.a.encode_batch_fast(new, add_special_tokens=False)]
-        b = self.b.encode([w[1:] if w[0] == " " else w for w in new], num_threads=1)
-        found = {}
-        for w, x, y in zip(new, a, b, strict=True):
-            found[w] = x, ([self.blank] if w == " " else y if w[0] == " " else y[1:])
-        out = [known.get(w) or found[w] for w in words]
-        if len(known) + len(new) > CACHE_STRETCHES:
-            known.clear()
-        known.update((w, f) for w, f in found.items() if len(w) <= CACHED_LENGTH)
-        return out
+        self._clear()
+
+    def _clear(self) -> None:
+        self.row: dict[str, int] = {}
+        #: Ids of the known stretches, and whether both tokenizers give the stretch back byte by byte.
+        self.lists = [_lists([]), _lists([])]
+        self.same = np.zeros(0, bool)
+
+    def rows(self, words: list[str]) -> np.ndarray:
+        """Rows of ``lists`` and ``same`` that hold each stretch; new ones are encoded."""
+        found = list(map(self.row.get, words))
+        if None in found:
+            new = list(dict.fromkeys(w for w, r in zip(words, found, strict=True) if r is None))
+            if len(self.row) + len(new) > KNOWN_STRETCHES or len(self.lists[0].values) > KNOWN_IDS:
+                self._clear()
+                new = list(dict.fromkeys(words))
+            self._learn(new)
+            found = list(map(self.row.__getitem__, words))
+        return np.array(found, np.int64)
+
+    def _learn(self, new: list[str]) -> None:
+        a = self._first(new)
+        b = self._second(new)
+        raw = [w.encode() for w in new]
+        same = [_joined(ids, table) == raw for ids, table in ((a, self.bytes_a), (b, self.bytes_b))]
+        self.same = np.concatenate([self.same, np.logical_and(*same)])
+        self.lists = [pa.concat_arrays(x) for x in zip(self.lists, (a, b), strict=True)]
+        self.row.update(zip(new, range(len(self.row), len(self.row) + len(new)), strict=True))
+
+    def _first(self, new: list[str]) -> pa.LargeListArray:
+        """Side by side, stretches are encoded as they are alone, unless one ends in white space: a bar keeps those apart."""
+        text = "".join([w + "|" if w[-1].isspace() or w[-1] in BLANK else w for w in new])
+        bars = [w[-1].isspace() or w[-1] in BLANK for w in new]
+        if any(bars):
+            return _lists([self.encode_a(w) for w in new])
+        ids = np.array(self.encode_a(text), np.int32)
+        ends = np.cumsum([len(w.encode()) for w in new])
+        reached = np.cumsum(np.asarray(self.length_a)[ids])
+        return pa.LargeListArray.from_arrays(np.concatenate([[0], np.searchsorted(reached, ends) + 1]), ids)
+
+    def _second(self, new: list[str]) -> pa.LargeListArray:
+        """The tokenizer's own leading blank stands for the blank of the stretch."""
+        found = self.b.encode([w[1:] if w[0] == " " else w for w in new], num_threads=1)
+        return _lists([[self.blank] if w == " " else y if w[0] == " " else y[1:] for w, y in zip(new, found, strict=True)])
+
+
+def _byte_level(path: str):
+    """Encoder and token bytes of a byte-level vocabulary file.
+
+    Where the ids follow the order of the merges, which is so for files made from ranks, the faster rank library reads the same
+    vocabulary; it differs where a whole word is a token that its merges do not reach, so that is checked too.
+    """
+    merges = load(path)
+    value = {c: i for i, c in enumerate(merges.alphabet)}
+    entry = {i: bytes([value[c] for c in t]) for t, i in merges.vocab.items() if all(c in value for c in t) and t not in merges.special}
+    size = max([*merges.vocab.values(), *merges.special.values()]) + 1
+    table = [entry.get(i, b"") for i in range(size)] if not merges.special else [
+        entry.get(i) or next((t.encode() for t, k in merges.special.items() if k == i), b"") for i in range(size)
+    ]
+    by_rank = sorted((rank, merged) for rank, merged in merges.pair.values())
+    made = {merged for _, merged in by_rank}
+    if [m for _, m in by_rank] == sorted(made) and len(made) + 256 == len(entry):
+        import tiktoken
+
+        ranks = {t: i for i, t in entry.items()}
+        return tiktoken.Encoding("first", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary, table
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(path)
+    own.encode_special_tokens = True
+    return lambda text: own.encode(text, add_special_tokens=False).ids, table
 
 
 @lru_cache(maxsize=2)
@@ -88,6 +135,12 @@ def _mark(text: str) -> pa.Scalar:
     return pa.scalar(text, pa.large_string())
 
 
+def _joined(ids: pa.LargeListArray, table: list[bytes]) -> np.ndarray:
+    """The bytes of each list of ids, as an array of objects."""
+    tokens = pa.array(table, pa.large_binary()).take(ids.values)
+    return np.array(pc.binary_join(pa.LargeListArray.from_arrays(ids.offsets, tokens), pa.scalar(b"", pa.large_binary())).to_pylist(), object)
+
+
 def _lists(rows: list[list[int]]) -> pa.LargeListArray:
     sizes = np.fromiter(map(len, rows), np.int64, len(rows))
     values = np.fromiter(chain.from_iterable(rows), np.int32, int(sizes.sum()))
@@ -106,15 +159,16 @@ def _segmented_ends(ids: pa.LargeListArray, length: pa.Array) -> pa.Table:
     return pa.table({"doc": doc, "end": pc.subtract(running, base), "token": token, "place": pa.array(np.arange(len(token)))})
 
 
-def _group_numbers(table: pa.Table, cuts: pa.Array) -> pa.Array:
-    """Number of the group of each token: how many cuts lie before it."""
-    cut = pc.is_in(table["place"].combine_chunks(), value_set=cuts).cast(pa.int64())
-    return pc.subtract(pc.cumulative_sum(cut), cut)
+def _group_numbers(n: int, cuts: pa.ChunkedArray) -> np.ndarray:
+    """Number of the group of each of ``n`` tokens: how many cuts lie before it."""
+    cut = np.zeros(n, np.int64)
+    cut[np.asarray(cuts)] = 1
+    return np.cumsum(cut) - cut
 
 
 def _spelled(token: pa.Array, group: np.ndarray, n_groups: int) -> pa.Array:
     """Decimal ids of each group, joined by commas."""
-    starts = np.searchsorted(group, np.arange(n_groups + 1))
+    starts = np.concatenate([[0], np.cumsum(np.bincount(group, minlength=n_groups))])
     return pc.binary_join(pa.LargeListArray.from_arrays(starts, token.cast(pa.large_string())), _mark(","))
 
 
@@ -153,20 +207,13 @@ class Aligned:
     """Sums, groups and links of the documents of a slice; ``texts`` are (row, stretch list), in order, ``rows`` ascending."""
 
     def __init__(self, own: Pair, pieces: list[list[str]]):
-        flat = pa.array(list(chain.from_iterable(pieces)), pa.large_string()).dictionary_encode()
-        codes = pa.array(np.asarray(flat.indices).astype(np.int64))
-        words = flat.dictionary.to_pylist()
-        both = own.stretches(words)
-        offsets = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
-        a, b = (self._documents(_lists([x[k] for x in both]), codes, offsets) for k in (0, 1))
-        whole = pc.binary_join(pa.LargeListArray.from_arrays(offsets, flat.dictionary.take(flat.indices)), _mark("")).cast(pa.large_binary())
-        same = [
-            pc.equal(pc.binary_join(pa.LargeListArray.from_arrays(x.offsets, t.take(x.values)), pa.scalar(b"", pa.large_binary())), whole)
-            for x, t in ((a, own.bytes_a), (b, own.bytes_b))
-        ]
-        #: Whether the joined bytes of both tokenizers are the text's.
-        self.same = np.asarray(pc.and_(*same))
-        self.a, self.b, self.own = a, b, own
+        rows = own.rows(list(chain.from_iterable(pieces)))
+        sizes = np.array([len(p) for p in pieces], np.int64)
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        self.a, self.b = (self._documents(x, pa.array(rows), offsets) for x in own.lists)
+        #: Whether both tokenizers give the text back; no stretch comes back longer, so one that differs is never made up for.
+        self.same = np.bincount(np.repeat(np.arange(len(pieces)), sizes), weights=~own.same[rows], minlength=len(pieces)) == 0
+        self.own = own
 
     @staticmethod
     def _documents(lists: pa.LargeListArray, codes: pa.Array, offsets: np.ndarray) -> pa.LargeListArray:
@@ -184,14 +231,13 @@ class Aligned:
         cuts = left.select(["doc", "end", "place"]).join(
             right.select(["doc", "end", "place"]).rename_columns(["doc", "end", "other"]), ["doc", "end"], join_type="inner", use_threads=False
         )
-        group_a = np.asarray(_group_numbers(left, cuts["place"].combine_chunks()))
-        group_b = np.asarray(_group_numbers(right, cuts["other"].combine_chunks()))
+        group_a, group_b = _group_numbers(len(left), cuts["place"]), _group_numbers(len(right), cuts["other"])
         doc_a, doc_b = np.asarray(left["doc"]), np.asarray(right["doc"])
         n_groups = len(cuts)
         token_a, token_b = left["token"].combine_chunks(), right["token"].combine_chunks()
         links = _links(doc_a, np.asarray(token_a), group_a, np.asarray(token_b), group_b, n_groups, self.own.size_b)
         spelled = pc.binary_join_element_wise(_spelled(token_a, group_a, n_groups), _spelled(token_b, group_b, n_groups), _mark("|"))
-        group_doc = doc_a[np.searchsorted(group_a, np.arange(n_groups))]
+        group_doc = doc_a[np.concatenate([[0], np.cumsum(np.bincount(group_a, minlength=n_groups))])[:-1]] if n_groups else doc_a
         starts = np.searchsorted(group_doc, np.arange(n + 1))
         groups = pc.binary_join(pa.LargeListArray.from_arrays(starts, spelled), _mark(";")).to_pylist()
         count = lambda x: np.bincount(x, minlength=n)
