@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import re
+import struct
 import uuid
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -23,7 +24,9 @@ CHUNK_CHARS, OVERLAP_CHARS = 50_000, 400
 #: A boundary nearer than this to the end of a chunk may depend on what follows (a contraction has three characters).
 LOOK_AHEAD = 3
 #: Words and pairs that a worker remembers, and the length of such words; speed only, not results.
-CACHE_WORDS, CACHED_LENGTH, CACHE_PAIRS = 400_000, 48, 1_000_000
+CACHE_WORDS, CACHED_LENGTH, CACHE_PAIRS = 600_000, 48, 1_000_000
+#: Words of up to so many bytes are merged without a heap.
+SHORT_BYTES, NO_RANK = 40, 1 << 60
 #: Results are handed back in pieces of about so many characters, which bounds the memory of a batch.
 PIECE_CHARS = 2_000_000
 
@@ -76,6 +79,8 @@ class Ranks(merging.Merges):
         whole = self.rank.get(raw)
         if whole is not None:
             return [whole]
+        if len(raw) <= SHORT_BYTES:
+            return self.merge_short(raw)
         _, symbols, following = self.merge([self.byte_id[b] for b in raw])
         out, at = [], 0
         while at != merging.NONE:
@@ -83,6 +88,22 @@ class Ranks(merging.Merges):
             at = following[at]
         return out
 
+    def merge_short(self, raw: bytes) -> list[int]:
+        """The same merges for a few bytes, by a plain search for the least rank, which costs less than a heap."""
+        rank = self.rank
+        get = rank.get
+        parts = [raw[i : i + 1] for i in range(len(raw))]
+        ranks = [get(a + b, NO_RANK) for a, b in zip(parts, parts[1:], strict=False)]
+        while ranks and (least := min(ranks)) != NO_RANK:
+            i = ranks.index(least)
+            parts[i : i + 2] = [joined] = [self.token[least]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = get(parts[i - 1] + joined, NO_RANK)
+            if i < len(ranks):
+                ranks[i] = get(joined + parts[i + 1], NO_RANK)
+        return [rank[p] for p in parts]
+
 
 def splitter(pattern: str) -> Callable[[str], list[str]]:
     """The matches of ``pattern`` in a text, with the classes of Unicode 16."""
@@ -100,7 +121,8 @@ class Encoder:
         self.known: dict[str, bytes] = {}
 
     def word(self, word: str) -> bytes:
-        ids = np.array(self.ranks.word(word), "<u4").tobytes()
+        ids = self.ranks.word(word)
+        ids = struct.pack(f"<{len(ids)}I", *ids)
         if len(word) <= CACHED_LENGTH:
             if len(self.known) >= CACHE_WORDS:
                 self.known.clear()
