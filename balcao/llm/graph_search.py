@@ -184,46 +184,72 @@ def index(vectors: DataFrame, k: int, id_col: str = "vec_id", vector_col: str =
     return write_intermediate(built, "graph-index")
 
 
+def nearest_in(points: np.ndarray, exact: np.ndarray, edges: np.ndarray, start: int, q: np.ndarray, k: int, beam: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(places, distances) of the ``k`` nearest points found for each query, and of all found that tie with the last of them.
+
+    A beam that ends within such a tie does not hold all of it: those queries are searched again with twice the beam.
+    """
+    squares = (points * points).sum(1)
+    out: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, int), np.empty(0))] * len(q)
+    open_ = np.arange(len(q))
+    while len(open_):
+        width = min(beam, len(points))
+        met, far = beam_search(points, squares, edges, start, q[open_].astype(np.float32), width)
+        true = np.sqrt(((exact[met] - q[open_][:, None, :]) ** 2).sum(2))
+        true[~np.isfinite(far)] = np.inf
+        order = true.argsort(axis=1, kind="stable")
+        true, met = np.take_along_axis(true, order, 1), np.take_along_axis(met, order, 1)
+        last = true[:, min(k, width) - 1]
+        ties = np.isfinite(last) & (true[:, -1] <= last) & (width < len(points))
+        for i in np.flatnonzero(~ties):
+            some = np.isfinite(true[i]) & (true[i] <= last[i])
+            out[open_[i]] = met[i, some], true[i, some]
+        open_, beam = open_[ties], beam * 2
+    return out
+
+
 def search(graphs: DataFrame, queries: DataFrame, k: int = 10, beam: int = 160, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(query_id, rank, id, score) of the ``k`` nearest found for each query, other than itself.
+    """(query_id, rank, id, score) of the ``k`` nearest found for each query, other than the query's own row.
 
-    Every query block meets every shard once; a task holds one shard and one block. Ties go to the lower id.
+    Every query block meets every shard once; a task holds one shard and one block. Ties go to the lower id. Each vector of a
+    repeated id is a query, and the other rows of that id are among its candidates.
     """
     wanted = queries.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("query_id"), F.col(vector_col).alias("vector"))
-    wanted = write_intermediate(wanted.where(usable(F.col("vector"))).dropDuplicates(["query_id"]), "graph-queries")
+    wanted = wanted.where(usable(F.col("vector"))).dropDuplicates(["query_id", "vector"]).withColumn("own", F.xxhash64("query_id", "vector"))
+    wanted = write_intermediate(wanted, "graph-queries")
     blocks = max(1, -(-wanted.count() // BLOCK_QUERIES))
-    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")
+    block = F.pmod("own", F.lit(blocks)).cast("int")
     shards = graphs.groupBy(F.size("vector").alias("d")).agg(F.collect_set("shard").alias("shards"))
-    asked = wanted.withColumn("d", F.size("vector")).join(F.broadcast(shards), "d").select("query_id", "vector", block.alias("block"), F.explode("shards").alias("shard"))
+    asked = wanted.withColumn("d", F.size("vector")).join(F.broadcast(shards), "d")
+    asked = asked.select("query_id", "own", "vector", block.alias("block"), F.explode("shards").alias("shard"))
     offered = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
-    def walk(key: tuple, sides: Iterator[pd.DataFrame] | pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
-        shape = {"query_id": "int64", "ids": "object", "score": "float64"}
+    def walk(key: tuple, sides: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
+        shape = {"query_id": "int64", "own": "int64", "ids": "object", "score": "float64"}
         rows = sides.sort_values("at")
         if not len(rows) or not len(ask):
             return pd.DataFrame({c: pd.Series(dtype=t) for c, t in shape.items()})
         exact = np.stack(rows["vector"].to_numpy()).astype(np.float64)
-        points = exact.astype(np.float32)
+        points, ids = exact.astype(np.float32), rows["ids"].to_numpy()
         edges = np.stack(rows["edges"].to_numpy()).astype(np.int64)
-        ids = rows["ids"].to_numpy()
         q = np.stack(ask["vector"].to_numpy()).astype(np.float64)
-        squares = (points * points).sum(1)
-        out_q, out_ids, out_d = [], [], []
+        at, far = [], []
         for some in np.array_split(np.arange(len(q)), max(1, len(q) // 256)):
-            met, far = beam_search(points, squares, edges, int(rows["start"].iloc[0]), q[some].astype(np.float32), min(beam, len(points)))
-            true = np.sqrt(((exact[met] - q[some][:, None, :]) ** 2).sum(2))
-            true[~np.isfinite(far)] = np.inf
-            order = true.argsort(axis=1, kind="stable")[:, : k + 1]
-            for i, row in enumerate(order):
-                for j in row[np.isfinite(true[i, row])]:
-                    out_q.append(ask["query_id"].iloc[some[i]])
-                    out_ids.append(ids[met[i, j]])
-                    out_d.append(true[i, j])
-        return pd.DataFrame({"query_id": np.array(out_q, np.int64), "ids": out_ids, "score": out_d})
-
-    found = offered.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(walk, "query_id long, ids array<long>, score double")
-    each = found.select("query_id", F.explode("ids").alias("id"), "score").where(F.col("id") != F.col("query_id"))
-    nearest = Window.partitionBy("query_id").orderBy("score", "id")
+            for places, distances_ in nearest_in(points, exact, edges, int(rows["start"].iloc[0]), q[some], k + 1, beam):
+                at.append(places)
+                far.append(distances_)
+        n = [len(x) for x in at]
+        return pd.DataFrame({
+            "query_id": np.repeat(ask["query_id"].to_numpy(), n), "own": np.repeat(ask["own"].to_numpy(), n),
+            "ids": list(ids[np.concatenate(at)]), "score": np.concatenate(far),
+        })
+
+    found = offered.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(walk, "query_id long, own long, ids array<long>, score double")
+    each = found.select("query_id", "own", F.explode("ids").alias("id"), "score")
+    # The query's own row is one of those with its id and its very vector.
+    itself = Window.partitionBy("query_id", "own", "id").orderBy("score")
+    each = each.withColumn("n", F.row_number().over(itself)).where((F.col("id") != F.col("query_id")) | (F.col("score") > 0) | (F.col("n") > 1))
+    nearest = Window.partitionBy("query_id", "own").orderBy("score", "id")
     return each.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
 
 
@@ -234,7 +260,7 @@ def nearest(
     """The ``k`` nearest vectors of each query by Euclidean distance; (query_id, rank from 1, id, score).
 
     Vectors that are null, empty, zero or hold null or non-finite components, and rows with a null id, take no part, as queries
-    or as candidates. Only vectors of a query's length are its candidates. Equal vectors tie and the lower id comes first; rows
+    or as candidates. Of ties the lowest ids are returned, however many tie. Only vectors of a query's length are its candidates. Equal vectors tie and the lower id comes first; rows
     that repeat an id and vector count as one candidate for each row. With fewer candidates than ``k`` all are returned.
     Other columns are not read; empty tables give an empty result.
     """
