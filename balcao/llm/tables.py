@@ -21,7 +21,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> D
     """(doc_id, text, label) of at most ``max_rows`` training rows, chosen by a hash of the id.
 
     Only ids outside the held-out fold count. ``max_rows`` bounds the training set of a model, nothing else. The ids are
-    chosen before the texts are read, so the join's small side is bounded by ``max_rows``.
+    chosen before the texts are read, so the join's small side is bounded by ``max_rows``; of an id with several rows the text
+    with the least hash is taken, so the result is bounded too.
     """
     chosen = (
         labels.select("doc_id", F.col(label).cast("int").alias("label"))
@@ -32,4 +33,5 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> D
         .limit(max_rows)
     )
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id")
+    found = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "text", "label")).alias("row"))
+    return found.select("doc_id", "row.text", "row.label")

@@ -28,7 +28,6 @@ MAX_TRAINING_ROWS = 4000
 SHORTEST, LONGEST = 4, 10
 #: A term must explain so many toxic rows that no better term explains, and pass a likelihood ratio of G2.
 SUPPORT, G2 = 5, 30.0
-MAX_TERMS = 500
 SEED_WEIGHT = 4.0
 #: One hit weighs against at least so many words.
 LENGTH_FLOOR = 20
@@ -42,12 +41,16 @@ LOOKALIKES = (
     "abbreeziikmhopctyxudgijshlqwabyezniknoptuxwbagiilodopaoi",
 )
 DIGITS = ("0134578", "oieastb")
+# The second reading of digits that stand for more than one letter, or seldom for one.
+SECOND_DIGITS = ("0123456789", "olzeasgtbg")
 SIGNS = ("@$!|", "asil")
 
 _TABLE = dict(zip(map(ord, LOOKALIKES[0]), LOOKALIKES[1], strict=True)) | {0xDF: "ss", 0x200B: None, 0x200C: None, 0x200D: None, 0xAD: None, 0xFEFF: None}
 _MARKS = re.compile(r"[0-9@$!|]")
 _REST = re.compile(r"[\w@$!|]*")
-_PLAIN = str.maketrans("".join(DIGITS[0]) + SIGNS[0], DIGITS[1] + SIGNS[1])
+_PLAIN = str.maketrans(DIGITS[0] + SIGNS[0], DIGITS[1] + SIGNS[1])
+_SECOND = str.maketrans(SECOND_DIGITS[0] + SIGNS[0], SECOND_DIGITS[1] + SIGNS[1])
+_AMBIGUOUS = re.compile(r"[1269]")
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -64,7 +67,7 @@ def _accents() -> dict[int, str]:
 _TABLE = _accents() | _TABLE | {c: None for c in range(0x300, 0x370)}
 
 
-def _unmask(text: str) -> str:
+def _unmask(text: str, letters: dict[int, int]) -> str:
     """Digits and signs that stand for letters, in every word that has both; signs at a word's end stay."""
     out, at = [], 0
     for m in _MARKS.finditer(text):
@@ -77,7 +80,7 @@ def _unmask(text: str) -> str:
         word = text[start:end]
         body = word.rstrip("@$!|")
         if _LETTER.search(body):
-            word = body.translate(_PLAIN) + word[len(body) :]
+            word = body.translate(letters) + word[len(body) :]
         out += [text[at:start], word]
         at = end
     return "".join(out) + text[at:] if out else text
@@ -85,10 +88,22 @@ def _unmask(text: str) -> str:
 
 def fold(text: str) -> str:
     """Text as the lexicon sees it. Numbers stay; signs at a word's end stay; invisible characters go."""
+    return _unmask(_lowered(text), _PLAIN)
+
+
+def _lowered(text: str) -> str:
     text = text.lower()
-    if not text.isascii():
-        text = text.translate(_TABLE)
-    return _unmask(text)
+    return text if text.isascii() else text.translate(_TABLE)
+
+
+def readings(text: str) -> list[str]:
+    """The folded text, and its second reading where a digit may stand for another letter. Both are equally long."""
+    lowered = _lowered(text)
+    first = _unmask(lowered, _PLAIN)
+    if not _AMBIGUOUS.search(lowered):
+        return [first]
+    second = _unmask(lowered, _SECOND)
+    return [first] if second == first else [first, second]
 
 
 def _words(folded: str) -> list[str]:
@@ -133,8 +148,10 @@ def hits(a: ahocorasick.Automaton, folded: str) -> list[tuple[int, int, float]]:
 
 def measures(a: ahocorasick.Automaton, text: str) -> tuple[float, float]:
     """Weighted hits, and weighted hits by length in words, both on a logarithmic scale."""
-    folded = fold(text)
-    weight = sum(w for _, _, w in hits(a, folded))
+    read = readings(text)
+    folded = read[0]
+    found = {s: w for r in reversed(read) for s, _, w in hits(a, r)}
+    weight = sum(found.values())
     return math.log1p(max(weight, 0.0)), math.log1p(100 * max(weight, 0.0) / max(LENGTH_FLOOR, folded.count(" ") + 1))
 
 
@@ -175,7 +192,7 @@ def learn_terms(texts: list[str], labels: list[int]) -> dict[str, float]:
         if s in weight:
             terms[s] = max(weight[s], 1.0)
     explained = set().union(*(where[s] for s in SEEDS if s in where))
-    while telling and len(terms) < MAX_TERMS:
+    while telling:
         gain = {t: len(where[t] - explained) * min(weight[t], 3.0) for t in telling}
         most = max(gain.values())
         t = min((x for x in telling if gain[x] >= most), key=lambda x: (-len(x), x))
