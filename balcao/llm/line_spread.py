@@ -84,13 +84,20 @@ def dedup_lines(
 
 def _cut(joined: DataFrame, text_col: str) -> DataFrame:
     """``joined`` without the lines at the positions ``__removed``, with ``n_lines`` and ``n_removed``."""
-    parts = F.split(text_col, "\n")
-    kept = F.filter(parts, lambda _, i: ~F.array_contains("__removed", i))
-    text = F.when(F.col("__removed").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    out = joined.withColumns(
-        {"n_lines": F.coalesce(F.size(parts), F.lit(0)).cast("long"), "n_removed": F.coalesce(F.size("__removed"), F.lit(0)).cast("long"), text_col: text}
+    # The lines are a column of their own, since an expression inside a lambda is evaluated for every element; kept places come from
+    # one pass over a hash set, so a text of a million lines is cut in one.
+    parted = joined.withColumn("__parts", F.split(text_col, "\n"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("__parts") - 1), "__removed")
+    text = F.when(F.col("__removed").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(kept, lambda i: F.get(F.col("__parts"), i)), "\n"))
+    none = F.col(text_col).isNull()
+    out = parted.withColumns(
+        {
+            "n_lines": F.when(none, 0).otherwise(F.size("__parts")).cast("long"),
+            "n_removed": F.when(none | F.col("__removed").isNull(), 0).otherwise(F.size("__removed")).cast("long"),
+            text_col: text,
+        }
     )
-    return out.withColumns({c: F.when(F.col(text_col).isNull(), F.lit(0).cast("long")).otherwise(F.col(c)) for c in ("n_lines", "n_removed")}).drop("__removed")
+    return out.drop("__removed", "__parts")
 
 
 def _leads(found: DataFrame, common: DataFrame, texts: DataFrame, threshold: float, width: int) -> DataFrame:

@@ -149,3 +149,51 @@ def test_signature_keeps_the_least_of_each_bin(spark):
         least[h >> 55] = min(h, least.get(h >> 55, h))
     assert signature == sorted(least.values())
     assert decontaminate.fill_for(1) > decontaminate.fill_for(30) == 0
+
+
+def contained(text, item, width=5):
+    """Share of the item's distinct runs of words in the text; a shorter item counts as one run."""
+    import re
+
+    find = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    w, b = find(text), find(item)
+    n = min(width, len(b))
+    runs = lambda x: {tuple(x[i : i + n]) for i in range(len(x) - n + 1)}
+    return len(runs(w) & runs(b)) / len(runs(b)) if b else 0.0
+
+
+def test_short_items_and_rows_without_an_id_of_their_own(spark):
+    """Items of one to six words anywhere in a text; null and repeated ids are judged row by row."""
+    texts = [
+        (1, "one two three four five six seven eight"), (1, "quite another clean text of some length here"), (None, "say three four five again"),
+        (None, "clean words only in this row of the table"), (2, "three four"), (3, ""), (4, None), (5, "THREE, four; five"), (5, "THREE, four; five"),
+        (6, "five four three"), (7, "zebra"), (8, " ".join(f"w{i}" for i in range(500)) + " three four five"),
+    ]
+    items = [(1, "three four five"), (2, "zebra"), (3, "four five"), (4, "w3 w4 w5 w6 w7 w8"), (5, "two three four five"), (6, "..."), (None, "six")]
+    docs = spark.createDataFrame([(*t, "x") for t in texts], "doc_id long, text string, item string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = {(i, j) for i, t in texts for j, b in items if j is not None and contained(t, b) >= 0.8}
+    got = decontaminate.find(docs, bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want and len(got) == len(want)
+    left = sorted(str(tuple(r)) for r in decontaminate.remove(docs, bench).select("doc_id", "text").collect())
+    clean = [(i, t) for i, t in texts if not any(j is not None and contained(t, b) >= 0.8 for j, b in items)]
+    assert left == sorted(map(str, clean))
+    with duckdb.connect() as con:
+        documents, benchmark = docs.toPandas(), bench.toPandas()  # noqa: F841
+        rows = con.sql(decontaminate.SQL.format(width=5, threshold=0.8)).fetchall()
+    assert {(None if i != i else i, j) for i, j, *_ in rows} == {(i, j) for i, j in want}
+
+
+def test_a_text_of_many_lines_is_cut_in_time(spark):
+    import time
+
+    shared = [f"the shared line number {i}" for i in range(60_000)]
+    own = [f"only here {i} and nowhere" for i in range(60_000)]
+    long = "\n".join(x for pair in zip(shared, own, strict=True) for x in pair)
+    rows = [(1, "\n".join(shared), "a"), (2, "\n".join(shared), "b"), (3, long, "c"), (4, None, "d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    start = time.time()
+    got = {r["doc_id"]: r for r in line_spread.dedup_lines(docs, 3, 3).collect()}
+    assert time.time() - start < 60
+    assert got[3]["text"].split("\n") == own and (got[3]["n_lines"], got[3]["n_removed"]) == (120_000, 60_000)
+    assert got[1]["text"] == rows[0][1] and got[2]["text"] == "" and (got[4]["text"], got[4]["n_lines"]) == (None, 0)
