@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from balcao import schemas
 from balcao.functions.columns import calendar_columns
-from balcao.operators.merge import merge_by_key, only_missing
+from balcao.operators.contract import integer
+from balcao.operators.merge import merge_by_key
 from balcao.operators.silver import keep_last
 from balcao.params import PADRAO, Params
 
@@ -54,10 +55,6 @@ def customers(silver: DataFrame) -> DataFrame:
     )
 
 
-def upsert_customers(dim: DataFrame, silver: DataFrame) -> DataFrame:
-    return merge_by_key(dim, customers(silver), ["cliente_id"], ["cliente_nome", "segmento"])
-
-
 def fact_rows(
     silver: DataFrame, lojas: DataFrame, produtos: DataFrame, clientes: DataFrame, instante: datetime
 ) -> DataFrame:
@@ -93,12 +90,13 @@ def merge_facts(fato: DataFrame, novos: DataFrame) -> DataFrame:
     return merge_by_key(fato, novos, schemas.FATO_CHAVE, [*schemas.FATO_ATUALIZAVEIS, "processed_at"])
 
 
-def touched_months(fato: DataFrame, novos: DataFrame) -> DataFrame:
-    """Fact partitions a batch can change: where its known sales are stored, plus the months of its new ones."""
-    chave = list(schemas.FATO_CHAVE)
-    guardadas = fato.select(*chave, "ano", "mes").join(novos.select(*chave), chave, "left_semi")
-    ineditas = only_missing(novos.select(*chave, "ano", "mes"), fato, chave)
-    return guardadas.select("ano", "mes").unionByName(ineditas.select("ano", "mes")).distinct()
+def found_counts(achadas: DataFrame) -> DataFrame:
+    """Received, inserted and updated rows of a batch whose stored months were looked up."""
+    return achadas.agg(
+        F.count("*").alias("registros_recebidos"),
+        F.count_if(c("ano_fato").isNull()).alias("registros_inseridos"),
+        F.count_if(c("ano_fato").isNotNull()).alias("registros_atualizados"),
+    )
 
 
 def ledger_rows(envelopes: DataFrame, instante: datetime, params: Params = PADRAO) -> DataFrame:
@@ -110,7 +108,7 @@ def ledger_rows(envelopes: DataFrame, instante: datetime, params: Params = PADRA
         c("arquivo_origem").alias("file_path"),
         F.trim("checksum").alias("checksum"),
         "data_referencia",
-        c("loja_id").cast("int").alias("loja_id"),
+        integer(c("loja_id")).cast("int").alias("loja_id"),
         F.lit("SILVER").alias("camada_destino"),
         F.lit("PROCESSED").alias("status"),
         registros.alias("registros_lidos"),
@@ -193,12 +191,13 @@ def audit_row(
     params: Params = PADRAO,
     mensagem: str | None = None,
     duracao: float = 0.0,
+    tentativa: int = 0,
     **metricas: int,
 ) -> DataFrame:
-    """One append-only audit row; metrics that are not given count zero."""
+    """One append-only audit row; metrics that are not given count zero. ``tentativa`` tells runs of the same date apart."""
     nomes = ("lidos", "validos", "invalidos", "inseridos", "ignorados")
     return spark.range(1).select(
-        F.xxhash64(F.lit(run_id), F.lit(tarefa), F.lit(data_referencia), F.lit(status)).alias("audit_id"),
+        F.xxhash64(F.lit(run_id), F.lit(tentativa), F.lit(tarefa), F.lit(data_referencia), F.lit(status)).alias("audit_id"),
         F.lit(params.fluxo).alias("dag_id"),
         F.lit(run_id).alias("run_id"),
         F.lit(tarefa).alias("task_id"),

@@ -41,5 +41,9 @@ class Params:
     instante: datetime = datetime(2026, 1, 1, 6, 0, 0)
     vendas_por_envelope: int = 5000
 
+    # Layout of the lake: blocks of a month's Bloom filter (4 KB each, only those in use are stored), buckets of customers.
+    blocos_filtro: int = 65_536
+    baldes_clientes: int = 256
+
 
 PADRAO = Params()

@@ -20,7 +20,7 @@ def _completed(silver: DataFrame) -> DataFrame:
 
 def kpi_summary(silver: DataFrame) -> DataFrame:
     """Network KPIs per month."""
-    return (
+    return summary_lines(
         _completed(silver)
         .groupBy("ano", "mes")
         .agg(
@@ -31,20 +31,23 @@ def kpi_summary(silver: DataFrame) -> DataFrame:
             F.count_distinct("id_venda").alias("total_pedidos"),
             F.sum("margem_bruta").alias("margem_bruta"),
         )
-        .withColumns(
-            {
-                "competencia": month_label(F.col("ano"), F.col("mes")),
-                "ticket_medio": rounded(ratio(F.col("faturamento_total"), F.col("total_pedidos"))),
-                "margem_bruta_pct": pct2(F.col("margem_bruta"), F.col("faturamento_total")),
-            }
-        )
+    )
+
+
+def summary_lines(totais: DataFrame) -> DataFrame:
+    """Month label, ticket and margin next to network totals."""
+    return totais.withColumns(
+        {
+            "competencia": month_label(F.col("ano"), F.col("mes")),
+            "ticket_medio": rounded(ratio(F.col("faturamento_total"), F.col("total_pedidos"))),
+            "margem_bruta_pct": pct2(F.col("margem_bruta"), F.col("faturamento_total")),
+        }
     )
 
 
 def kpi_stores(silver: DataFrame) -> DataFrame:
     """KPIs per store-month with the share of the network and a dense rank."""
-    mes = Window.partitionBy("ano", "mes")
-    return (
+    return store_lines(
         _completed(silver)
         .groupBy("ano", "mes", "loja_id", "loja_nome")
         .agg(
@@ -53,29 +56,38 @@ def kpi_stores(silver: DataFrame) -> DataFrame:
             F.sum("quantidade").alias("quantidade"),
             F.sum("margem_bruta").alias("margem_bruta"),
         )
-        .withColumns(
-            {
-                "competencia": month_label(F.col("ano"), F.col("mes")),
-                "ticket_medio": rounded(ratio(F.col("faturamento"), F.col("pedidos"))),
-                "market_share_pct": pct2(F.col("faturamento"), F.sum("faturamento").over(mes)),
-                "ranking_receita": F.dense_rank().over(mes.orderBy(F.col("faturamento").desc())),
-                "margem_bruta_pct": pct2(F.col("margem_bruta"), F.col("faturamento")),
-            }
-        )
+    )
+
+
+def store_lines(totais: DataFrame) -> DataFrame:
+    """Shares, ranks and ratios next to the totals of every store-month."""
+    mes = Window.partitionBy("ano", "mes")
+    return totais.withColumns(
+        {
+            "competencia": month_label(F.col("ano"), F.col("mes")),
+            "ticket_medio": rounded(ratio(F.col("faturamento"), F.col("pedidos"))),
+            "market_share_pct": pct2(F.col("faturamento"), F.sum("faturamento").over(mes)),
+            "ranking_receita": F.dense_rank().over(mes.orderBy(F.col("faturamento").desc())),
+            "margem_bruta_pct": pct2(F.col("margem_bruta"), F.col("faturamento")),
+        }
     )
 
 
 def kpi_products(silver: DataFrame, *grupo: str) -> DataFrame:
     """Revenue and volume per product with two dense ranks across all products of the input, or of each ``grupo``
     (year and month) when several months are given at once."""
-    produtos = write_intermediate(
+    return product_lines(
         _completed(silver)
         .groupBy(*grupo, "produto_id", "produto_nome", "categoria")
         .agg(F.sum("valor_liquido").alias("faturamento"), F.sum("quantidade").alias("volume")),
-        "kpi_produtos",
+        *grupo,
     )
+
+
+def product_lines(totais: DataFrame, *grupo: str) -> DataFrame:
+    """Two dense ranks next to the totals of every product."""
     return spread_ranks(
-        produtos, grupo, {"ranking_receita": "faturamento", "ranking_volume": "volume"}, dense=True
+        write_intermediate(totais, "kpi_produtos"), grupo, {"ranking_receita": "faturamento", "ranking_volume": "volume"}, dense=True
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from balcao import schemas
 from balcao.operators.contract import checksum
 from balcao.params import PADRAO, Params
+from balcao.sources import raw
 
 c = F.col
 GRUPO = ("loja_id", "data", "turno")
@@ -87,13 +88,17 @@ def conflicts(envelopes: DataFrame, existentes: DataFrame) -> DataFrame:
     return envelopes.select(*GRUPO).distinct().join(ja, list(GRUPO), "left_semi")
 
 
-def emit(envelopes: DataFrame, raiz: str, existentes: DataFrame | None = None) -> None:
+def emit(envelopes: DataFrame, raiz: str) -> None:
     """Write one JSON file per envelope. Refused as a whole when any shift was emitted before; raw files are never
-    overwritten. File names ascend with the shift name inside a store-day."""
-    if existentes is not None:
-        repetidos = conflicts(envelopes, existentes).count()
-        if repetidos:
-            raise FileExistsError(f"{repetidos} shift file(s) already exist for these dates")
+    overwritten. Only the folders of the batch's dates are read for that. File names ascend with the shift name inside a
+    store-day."""
+    dias = envelopes.agg(F.min("data").cast("string").alias("de"), F.max("data").cast("string").alias("ate")).first()
+    if dias["de"] is None:
+        return
+    existentes = raw.parse(raw.scan(envelopes.sparkSession, raiz, dias["de"], dias["ate"]))
+    repetidos = conflicts(envelopes, existentes).count()
+    if repetidos:
+        raise FileExistsError(f"{repetidos} shift file(s) already exist for these dates")
     pasta = {
         "loja": F.concat(F.lit("loja_"), c("loja_id").cast("string")),
         "ano": F.date_format("data", "yyyy"),

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from balcao.operators.contract import TIPOS, integer
 from balcao.schemas import CAMPOS_ENVELOPE, ENVELOPE_RAW, LOJAS
-from balcao.sources.lake import path_missing
+from balcao.sources.files import Files
 
 c = F.col
 CORROMPIDO = "_corrompido"
@@ -43,26 +45,44 @@ def with_origin(arquivos: DataFrame) -> DataFrame:
     )
 
 
+def folders(spark: SparkSession, raiz: str, inicio: str, fim: str, lojas: Sequence[int]) -> list[str]:
+    """Folders of the range that exist, below ``raiz``/vendas. Only the months of the range are listed, for each store."""
+    arquivos, achadas = Files(spark), []
+    primeiro, ultimo = date.fromisoformat(inicio), date.fromisoformat(fim)
+    meses = sorted({(d.year, d.month) for d in (primeiro + timedelta(days=n) for n in range((ultimo - primeiro).days + 1))})
+    for loja in lojas:
+        for ano, mes in meses:
+            # Terminals write months and days with or without a leading zero.
+            for pasta in dict.fromkeys((f"{mes:02d}", str(mes))):
+                do_mes = f"loja=loja_{loja}/ano={ano}/mes={pasta}"
+                for nome in arquivos.names(f"{raiz}/vendas/{do_mes}"):
+                    dia = nome.removeprefix("dia=")
+                    if dia.isdecimal() and primeiro <= date(ano, mes, int(dia)) <= ultimo:
+                        achadas.append(f"{do_mes}/{nome}")
+    return achadas
+
+
 def scan(spark: SparkSession, raiz: str, inicio: str, fim: str, lojas: Sequence[int] = LOJAS) -> DataFrame:
-    """Text and origin of every raw file of the range. Only matching folders are listed into the scan."""
+    """Text and origin of every raw file of the range. Only the folders of its dates and stores are listed."""
     leitor = spark.read.schema(RAW_TEXT).option("wholetext", True).option("pathGlobFilter", "*.json")
-    try:
-        arquivos = leitor.format("text").load(f"{raiz}/vendas")
-    except Exception as erro:
-        if not path_missing(erro):
-            raise
+    pastas = folders(spark, raiz, inicio, fim, lojas)
+    if not pastas:
         vazio = "value string, loja_pasta int, data_referencia date, arquivo_origem string"
         return spark.createDataFrame([], vazio)
+    arquivos = leitor.option("basePath", f"{raiz}/vendas").format("text").load([f"{raiz}/vendas/{p}" for p in pastas])
     return with_origin(arquivos.where(in_scope(inicio, fim, lojas)))
 
 
 def parse(textos: DataFrame) -> DataFrame:
-    """Envelope fields as text next to the origin columns; unreadable JSON is kept and marked."""
+    """Envelope fields as text next to the origin columns; unreadable JSON is kept and marked. ``tipos`` is the schema that the
+    document's own values have, all its sales merged: it tells a number from a number written as text."""
     esquema = T.StructType([*ENVELOPE_RAW.fields, T.StructField(CORROMPIDO, T.StringType())])
     opcoes = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORROMPIDO}
     # Generated rather than projected, so that one parse serves all fields.
     lido = textos.select(
-        *[col for col in textos.columns if col != "value"], F.inline_outer(F.array(F.from_json("value", esquema, opcoes)))
+        *[col for col in textos.columns if col != "value"],
+        F.schema_of_variant(F.try_parse_json("value")).alias(TIPOS),
+        F.inline_outer(F.array(F.from_json("value", esquema, opcoes))),
     )
     vazio = F.coalesce(*CAMPOS_ENVELOPE).isNull() & c("vendas").isNull()
     return lido.withColumn("ilegivel", c(CORROMPIDO).isNotNull() | vazio).drop(CORROMPIDO)
@@ -92,7 +112,7 @@ def any_available(disponibilidade: DataFrame) -> DataFrame:
 def profile(envelopes: DataFrame) -> DataFrame:
     """Sales per store and shift straight from the envelopes."""
     return (
-        envelopes.groupBy(c("loja_id").cast("int").alias("loja_id"), "turno")
+        envelopes.groupBy(integer(c("loja_id")).cast("int").alias("loja_id"), "turno")
         .agg(F.sum(F.size("vendas")).cast("long").alias("registros"))
         .orderBy("loja_id", "turno")
     )

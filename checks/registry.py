@@ -17,6 +17,7 @@ from balcao.params import PADRAO
 from balcao.plans import alerts, analyst, forecast, marts, quality_status, snapshots, views
 from balcao.sources import export, raw
 from balcao.sources.sample_star import SEGMENTO, SampleStar, mistyped_product
+from checks import sample_job
 from checks.oracle_base import DRE_VALORES, aprovacao, dbl, iso_date, iso_time, pct, pct2, sql
 
 c = F.col
@@ -1093,7 +1094,10 @@ _PRIMEIRAS = (
 
 def _versions(wh: SampleStar) -> tuple[DataFrame, DataFrame]:
     """First and last version of every repeated sale: a first load and its correction."""
-    colunas = ("id_venda", "loja_id", "data_venda", "quantidade", "valor_bruto", "valor_liquido", "margem_bruta", "status")
+    colunas = (
+        "id_venda", "loja_id", "data_venda", "quantidade", "custo_unitario", "canal_venda", "valor_unitario", "desconto_valor",
+        "valor_bruto", "valor_liquido", "custo_total", "margem_bruta", "status",
+    )
     vendas = silver.financial_columns(wh.bronze("status", "custo_unitario"))
     chave = ("l_orderkey", "l_linenumber", "loja_id")
     ordem = ("data_venda", "l_suppkey", "produto_id", "quantidade", "valor_bruto", "desconto_valor", "status")
@@ -1103,11 +1107,9 @@ def _versions(wh: SampleStar) -> tuple[DataFrame, DataFrame]:
 
 add(
     "L1_merge_de_fatos",
-    lambda wh: load.merge_by_key(
-        *_versions(wh), ["id_venda", "loja_id"], ["valor_bruto", "valor_liquido", "margem_bruta", "status"]
-    ),
-    f"SELECT p.id_venda, p.loja_id, {iso_time('p.data_venda')}, p.quantidade, "
-    f"{dbl('u.valor_bruto', 'u.valor_liquido', 'u.margem_bruta')}, u.status "
+    lambda wh: load.merge_facts(*_versions(wh)),
+    f"SELECT p.id_venda, p.loja_id, {iso_time('p.data_venda')}, p.quantidade, p.custo_unitario::DOUBLE AS custo_unitario, p.canal_venda, "
+    f"{dbl('u.valor_unitario', 'u.desconto_valor', 'u.valor_bruto', 'u.valor_liquido', 'u.custo_total', 'u.margem_bruta')}, u.status "
     f"FROM {_PRIMEIRAS} p JOIN fato u USING (l_orderkey, l_linenumber, loja_id)",
 )
 add(
@@ -1229,3 +1231,62 @@ add(
     "SELECT loja_id, COUNT(*) AS vendas, CAST(SUM(valor_liquido) AS DOUBLE) AS valor_liquido FROM fato "
     f"JOIN part ON p_partkey = produto_id WHERE {_LISTADO} GROUP BY loja_id",
 )
+
+# Whole jobs: the sample's files of each store, month and shift, run through a lake
+
+_MENSAL = (
+    "(SELECT loja_id, ano, mes, turno, COUNT(*) AS registros, "
+    "bool_or(cliente_id = 0 OR produto_id = 0) AS recusado FROM bronze GROUP BY loja_id, ano, mes, turno)"
+)
+_ACEITAS = f"(SELECT b.* FROM bronze b JOIN {_MENSAL} m USING (loja_id, ano, mes, turno) WHERE NOT recusado)"
+_CARREGADAS = "COUNT(DISTINCT (id_venda, loja_id))"
+add(
+    "P2_carga_historica",
+    sample_job.backfill_twice,
+    "SELECT CAST(n AS INTEGER) AS execucao, arquivos_raw, arquivos_rejeitados, extraidos AS registros_extraidos, "
+    "extraidos AS registros_validos, CAST(0 AS BIGINT) AS registros_invalidos, extraidos - por_mes AS duplicatas_removidas, "
+    "carregadas AS registros_recebidos, CASE n WHEN 1 THEN carregadas ELSE 0 END AS registros_inseridos, "
+    "CASE n WHEN 1 THEN 0 ELSE carregadas END AS registros_atualizados, CAST(0 AS BIGINT) AS sem_dimensao FROM "
+    f"(SELECT COUNT(*) AS arquivos_raw, COUNT(*) FILTER (WHERE recusado) AS arquivos_rejeitados FROM {_MENSAL}), "
+    f"(SELECT COUNT(*) AS extraidos, COUNT(DISTINCT (id_venda, loja_id, ano, mes)) AS por_mes, {_CARREGADAS} AS carregadas "
+    f"FROM {_ACEITAS}), generate_series(1, 2) t(n)",
+)
+add(
+    "P1_fatos_carregados",
+    sample_job.loaded_facts,
+    f"SELECT loja_id, vendas, clientes, primeiro_ano, ultimo_ano, arquivos, CAST(lidos AS BIGINT) AS lidos FROM (SELECT loja_id, {_CARREGADAS} AS vendas, "
+    f"COUNT(DISTINCT cliente_id) AS clientes, MIN(ano) AS primeiro_ano, MAX(ano) AS ultimo_ano FROM {_ACEITAS} GROUP BY loja_id) "
+    f"JOIN (SELECT loja_id, COUNT(*) AS arquivos, SUM(registros) AS lidos FROM {_MENSAL} WHERE NOT recusado GROUP BY loja_id) USING (loja_id)",
+)
+_POR_CARGA = f"(SELECT ano <= {sample_job.PRIMEIRA_CARGA} AS carga, COUNT(*) AS lidas, {_CARREGADAS} AS chaves, COUNT(DISTINCT (id_venda, loja_id, ano, mes)) AS silver FROM {_ACEITAS} GROUP BY 1)"
+add(
+    "A20_auditoria_das_execucoes",
+    lambda wh: sample_job.audit_of_runs(wh).where("task_id in ('extrair_bronze', 'validar_qualidade', 'transformar_silver', 'carregar_datawarehouse')"),
+    "SELECT task_id, COUNT(*) AS execucoes, COUNT(*) AS sucessos, CAST(SUM(CASE WHEN task_id = 'carregar_datawarehouse' THEN chaves ELSE lidas END) AS BIGINT) AS lidos, "
+    f"CASE WHEN task_id = 'carregar_datawarehouse' THEN (SELECT {_CARREGADAS} FROM {_ACEITAS}) ELSE 0 END AS inseridos, TRUE AS tempo_medido, TRUE AS ids_unicos "
+    f"FROM {_POR_CARGA}, (VALUES ('extrair_bronze'), ('validar_qualidade'), ('transformar_silver'), ('carregar_datawarehouse')) t(task_id) GROUP BY task_id",
+)
+QUERIES["A15_marts_por_parcelas"] = Query(
+    lambda wh: sample_job.shares_in_steps(wh, _silver(wh).ativas, "kpis_vendas"), QUERIES["E1_kpis_vendas"].oracle
+)
+add(
+    "E8_pedidos_por_bitmap",
+    sample_job.orders_by_bitmap,
+    "SELECT ano, pedidos, CAST(por_loja AS BIGINT) AS pedidos_por_loja FROM (SELECT ano, COUNT(DISTINCT l_orderkey) AS pedidos FROM concluidas GROUP BY ano) "
+    "JOIN (SELECT ano, SUM(n) AS por_loja FROM (SELECT ano, loja_id, COUNT(DISTINCT l_orderkey) AS n FROM concluidas GROUP BY ano, loja_id) GROUP BY ano) USING (ano)",
+)
+
+
+def _found_months(wh: SampleStar) -> DataFrame:
+    """Sales of 1997 looked up in a table of all sales: months that filters name, then the keys of those months only."""
+    from balcao.operators import bloom
+
+    fato = write_intermediate(wh.fato("id_venda", "loja_id", "ano", "mes"), "fato")
+    filtros = write_intermediate(bloom.build(fato, ["id_venda", "loja_id"], ["ano", "mes"], 4096), "filtros")
+    procuradas = fato.where("ano = 1997").select("id_venda", "loja_id")
+    candidatos = bloom.probe(procuradas, ["id_venda", "loja_id"], filtros, ["ano", "mes"], 4096)
+    achadas = candidatos.join(fato, ["id_venda", "loja_id", "ano", "mes"])
+    return achadas.groupBy("ano", "mes").agg(F.count("*").alias("vendas"))
+
+
+add("D18_meses_das_chaves", _found_months, "SELECT ano, mes, COUNT(*) AS vendas FROM fato WHERE ano = 1997 GROUP BY ano, mes")

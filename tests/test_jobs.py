@@ -209,7 +209,7 @@ def test_failure_is_audited(spark, tmp_path):
     with pytest.raises(Exception):  # noqa: B017
         job.run_texts(ruim, day_list(month_days("2026-01")[0], 1))
     log = job.lake.read("warehouse/pipeline_audit_log", schemas.AUDITORIA)
-    assert rows(log, "status", "task_id") == [("FAILED", "processar_data")]
+    assert rows(log, "status", "task_id") == [("FAILED", "extrair_bronze")]
 
 
 def test_stream_lands_new_files_once(spark, tmp_path):
@@ -250,7 +250,7 @@ def test_export_round_trip_and_write_once(spark, tmp_path):
     assert bronze.count() == 30 and bronze.select("id_venda").distinct().count() == 30
     assert {r["quantidade"] for r in bronze.collect()} == {1, 2, 3}
     with pytest.raises(FileExistsError):
-        export.emit(partes, raiz, lidos)
+        export.emit(partes, raiz)
 
 
 def test_tampered_export_is_refused(spark, tmp_path):
