@@ -183,7 +183,7 @@ def once(df: DataFrame, nome: str, valor: Column) -> DataFrame:
 
 
 def serialize(df: DataFrame) -> DataFrame:
-    """Interchange form: decimals as doubles, dates and timestamps as ISO text."""
+    """Interchange form: decimals as doubles, dates and timestamps as ISO text, with microseconds where there are any."""
     saida = []
     for campo in df.schema.fields:
         col = F.col(f"`{campo.name}`")
@@ -192,6 +192,7 @@ def serialize(df: DataFrame) -> DataFrame:
         elif isinstance(campo.dataType, T.DateType):
             col = F.date_format(col, "yyyy-MM-dd")
         elif isinstance(campo.dataType, (T.TimestampType, T.TimestampNTZType)):
-            col = F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss")
+            inteiro = F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss")
+            col = F.when(F.date_format(col, "SSSSSS") == "000000", inteiro).otherwise(F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
         saida.append(col.alias(campo.name))
     return df.select(*saida)

@@ -6,12 +6,14 @@ envelope row, so no sale is moved before its file is accepted.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from balcao import schemas
 from balcao.functions.columns import once, text
@@ -34,6 +36,14 @@ TAMANHO_MINIMO = {
 ID_VENDA_MAXIMO = 50
 DESCONTO_MAXIMO_PCT = 25
 PARCELAS_MAXIMO = 24
+INTEIRO_MAXIMO = 2**31 - 1
+# Fields that must be JSON strings. Numbers may be written as numbers or as text.
+CAMPOS_TEXTO_VENDA = (*TAMANHO_MINIMO, "cliente_segmento", "status", "motivo_cancelamento", "data_venda")
+CAMPOS_TEXTO_ENVELOPE = (
+    "schema_version", "origem", "loja_nome", "cidade", "estado", "turno", "data_geracao", "pipeline_id", "checksum",
+)
+#: Column with the schema of the document's own values, where the source gives it.
+TIPOS = "tipos"
 UUID = r"^[0-9a-fA-F]{8}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{12}$"
 CHECKSUM_TAMANHO = 64
 
@@ -72,22 +82,43 @@ def failures(regras: dict[str, Column]) -> Column:
     return F.array_compact(F.array(*[F.when(~holds(ok), F.lit(nome)) for nome, ok in regras.items()]))
 
 
+def fits(valor: Column, tipo: T.DecimalType = schemas.DINHEIRO) -> Column:
+    """Whether an amount can be stored; beyond the type, its file is refused and no other."""
+    return F.abs(valor) < F.lit(10 ** (tipo.precision - tipo.scale)).cast("decimal(28,0)")
+
+
+def misspelled(campos: Sequence[str], esquema: Column) -> Column:
+    """Names of the text fields that ``esquema`` shows with another kind of value. Sales of one file are merged in it, so a single
+    number among texts shows too; a field that is only null, or missing, is left to the other rules."""
+    outro = lambda campo: esquema.rlike(rf"[<, ]`?{campo}`?: (?!STRING\b|VOID\b)")
+    return F.array_compact(F.array(*[F.when(holds(outro(campo)), F.lit(campo)) for campo in campos]))
+
+
+def _schemas() -> tuple[Column, Column]:
+    """Schema of the sales and of the envelope without them."""
+    da_venda = r"vendas: ARRAY<OBJECT<([^<>]*)>>"
+    return F.concat(F.lit("<"), F.regexp_extract(TIPOS, da_venda, 1)), F.regexp_replace(TIPOS, da_venda, "")
+
+
 def sale_rules(v: Column) -> dict[str, Column]:
     """Checks of one sale. Field checks carry the field name, checks across fields a name of their own."""
     g = v.getField
     regras = {campo: F.length(text(g(campo))) >= minimo for campo, minimo in TAMANHO_MINIMO.items()}
     regras["id_venda"] = regras["id_venda"] & (F.length(text(g("id_venda"))) <= ID_VENDA_MAXIMO)
     status, motivo = text(g("status")), F.coalesce(text(g("motivo_cancelamento")), F.lit(""))
-    bruto = decimal(g("valor_unitario")) * integer(g("quantidade"))
+    vezes = lambda campo: F.try_multiply(decimal(g(campo)), integer(g("quantidade")).cast("decimal(20,0)")).try_cast("decimal(28,6)")
+    bruto, custo = vezes("valor_unitario"), vezes("custo_unitario")
+    # A product is missing only where one of its factors fails its own rule.
+    cabe = lambda campo, total: fits(decimal(g(campo))) & fits(F.coalesce(total, F.lit(0)))
     teto = bruto * F.lit("0.25").cast("decimal(3,2)") + F.lit("0.01").cast("decimal(3,2)")
     regras |= {
         "loja_id": integer(g("loja_id")).isin(*schemas.LOJAS),
         "cliente_id": integer(g("cliente_id")) > 0,
         "cliente_segmento": text(g("cliente_segmento")).isin(*schemas.SEGMENTOS),
         "produto_id": integer(g("produto_id")) > 0,
-        "quantidade": integer(g("quantidade")) > 0,
-        "valor_unitario": decimal(g("valor_unitario")) > 0,
-        "custo_unitario": decimal(g("custo_unitario")) > 0,
+        "quantidade": integer(g("quantidade")).between(1, INTEIRO_MAXIMO),
+        "valor_unitario": (decimal(g("valor_unitario")) > 0) & cabe("valor_unitario", bruto),
+        "custo_unitario": (decimal(g("custo_unitario")) > 0) & cabe("custo_unitario", custo),
         "desconto_percentual": decimal(g("desconto_percentual")).between(0, DESCONTO_MAXIMO_PCT),
         "desconto_valor": decimal(g("desconto_valor")) >= 0,
         "parcelas": integer(g("parcelas")).between(1, PARCELAS_MAXIMO),
@@ -163,11 +194,15 @@ def check(envelopes: DataFrame) -> DataFrame:
     das_vendas = F.when(F.coalesce(todas_certas, F.lit(True)), nenhum).otherwise(
         F.transform(nomes, lambda n: F.concat(F.lit("venda."), n))
     )
-    campos = F.when(c("ilegivel"), F.array(F.lit("json_ilegivel"))).otherwise(
-        F.concat(failures(envelope_rules()), das_vendas)
-    )
+    do_envelope = failures(envelope_rules())
+    if TIPOS in envelopes.columns:
+        vendas, envelope = _schemas()
+        do_envelope = F.array_union(do_envelope, misspelled(CAMPOS_TEXTO_ENVELOPE, envelope))
+        tipos = F.transform(misspelled(CAMPOS_TEXTO_VENDA, vendas), lambda n: F.concat(F.lit("venda."), n))
+        das_vendas = F.array_union(das_vendas, tipos)
+    campos = F.when(c("ilegivel"), F.array(F.lit("json_ilegivel"))).otherwise(F.concat(do_envelope, das_vendas))
     erros = F.when(F.size("_campos") > 0, c("_campos")).otherwise(failures(integrity_rules()))
-    return once(once(envelopes, "_campos", campos), "erros", erros).drop("_campos")
+    return once(once(envelopes, "_campos", campos), "erros", erros).drop("_campos", TIPOS)
 
 
 def accepted(checados: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from balcao.functions.columns import approval_rate, window_start
 from balcao.params import PADRAO, Params
+from balcao.schemas import TURNOS
 from balcao.sources.warehouse import Warehouse
 
 c = F.col
@@ -144,12 +145,20 @@ def recent_runs(wh: Warehouse, limite: int = 25) -> DataFrame:
     return wh.auditoria().orderBy(c("created_at").desc(), c("audit_id").desc()).limit(limite)
 
 
+def shifts_with_files() -> Column:
+    """Shift files of a group of ledger rows: the parts of a split shift count as one, a file that names no shift as itself."""
+    turno = F.regexp_extract(F.lower("file_path"), rf"_({'|'.join(t.lower() for t in TURNOS)})(?:-\d+)?\.json$", 1)
+    posicao = F.array_position(F.array(*[F.lit(t.lower()) for t in TURNOS]), turno).cast("int")
+    vistos = F.bit_or(F.when(posicao > 0, F.call_function("shiftleft", F.lit(1), posicao - 1)))
+    return (F.coalesce(F.bit_count(vistos), F.lit(0)) + F.count_if(posicao == 0)).cast("long")
+
+
 def coverage(wh: Warehouse) -> DataFrame:
-    """Files of every active store on the newest date, stores without files included."""
+    """Shifts with files of every active store on the newest date, stores without files included."""
     por_loja_data = (
         wh.arquivos()
         .groupBy("loja_id", "data_referencia")
-        .agg(F.count("*").alias("arquivos"), *_records(), F.max("updated_at").alias("atualizado_em"))
+        .agg(shifts_with_files().alias("arquivos"), *_records(), F.max("updated_at").alias("atualizado_em"))
     )
     # The newest date per store is one row per store; the newest of all is taken over those few rows.
     ultimas = por_loja_data.groupBy("loja_id").agg(
