@@ -39,7 +39,8 @@ class Params:
     versao: str = "1.0.0"
     fluxo: str = "vendas_diario"
     instante: datetime = datetime(2026, 1, 1, 6, 0, 0)
-    vendas_por_envelope: int = 5000
+    #: Files of one shift; raise it where a shift has too many sales for one array.
+    partes_por_turno: int = 1
 
     # Layout of the lake: blocks of a month's Bloom filter (4 KB each, only those in use are stored), buckets of customers.
     blocos_filtro: int = 65_536

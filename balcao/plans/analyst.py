@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from balcao.functions.columns import pct
+from balcao.functions.lineage import write_intermediate
 from balcao.plans import views
 from balcao.sources.warehouse import Warehouse
 
@@ -28,14 +31,26 @@ def latest_store_ranking(wh: Warehouse) -> DataFrame:
     return latest_month_rows(views.store_revenue(wh)).orderBy("ranking", "loja_id")
 
 
+def newest_top_products(wh: Warehouse, posicao: str, limite: int) -> DataFrame:
+    """The first ``limite`` rows of the monthly product ranks, newest month first. Months are ranked one by one from the newest until
+    the rows are complete, so older ones are neither read nor ranked."""
+    partes, linhas = [], 0
+    for competencia in wh.months():
+        do_mes = write_intermediate(views.top_products(wh, competencia=competencia), "top_do_mes")
+        partes.append(do_mes)
+        linhas += do_mes.count()
+        if linhas >= limite:
+            break
+    todas = reduce(DataFrame.unionByName, partes) if partes else views.top_products(wh, competencia=(0, 0))
+    return todas.orderBy(c("ano").desc(), c("mes").desc(), posicao, "produto_id").limit(limite)
+
+
 def top_by_revenue(wh: Warehouse, limite: int = 10) -> DataFrame:
-    ordem = (c("ano").desc(), c("mes").desc(), "ranking_receita", "produto_id")
-    return views.top_products(wh).orderBy(*ordem).limit(limite)
+    return newest_top_products(wh, "ranking_receita", limite)
 
 
 def top_by_volume(wh: Warehouse, limite: int = 10) -> DataFrame:
-    ordem = (c("ano").desc(), c("mes").desc(), "ranking_volume", "produto_id")
-    return views.top_products(wh).orderBy(*ordem).limit(limite)
+    return newest_top_products(wh, "ranking_volume", limite)
 
 
 def ticket_by_store(wh: Warehouse) -> DataFrame:

@@ -33,19 +33,19 @@ def _uuid(*partes: str) -> Column:
 
 
 def package(vendas: DataFrame, gerado_em: datetime, params: Params = PADRAO) -> DataFrame:
-    """One envelope per store, date and shift.
+    """One envelope per store, date and shift, or ``params.partes_por_turno`` of them, each complete in itself (own count and
+    checksum).
 
-    A shift with more sales than ``params.vendas_por_envelope`` is split by a hash of the sale id into several
-    envelopes of about that size, each complete in itself (own count and checksum), so no array grows with a hot
-    shift. Repeated ids of a shift stay in one envelope.
+    The number of parts is fixed, so what comes out does not depend on how many sales a shift has, and sales are not counted
+    first. A sale's part is a hash of all its fields and its position, so the parts of a hot shift, or of one id with very many
+    rows, are alike in size.
     """
+    posicao = ["posicao"] if "posicao" in vendas.columns else []
     vendas = vendas.withColumn("turno", c("turno_origem"))
-    tamanhos = vendas.groupBy(*GRUPO).agg(
-        F.ceil(F.count("*") / F.lit(params.vendas_por_envelope)).cast("int").alias("partes")
-    )
-    lote = vendas.join(tamanhos, list(GRUPO)).withColumn("parte", F.pmod(F.xxhash64("id_venda"), c("partes")).cast("int"))
+    espalha = F.xxhash64(*schemas.CAMPOS_VENDA, *posicao)
+    parte = F.pmod(espalha, F.lit(params.partes_por_turno)).cast("int") if params.partes_por_turno > 1 else F.lit(0)
     venda = F.struct(*[_raw_value(campo).alias(campo) for campo in schemas.CAMPOS_VENDA])
-    envelopes = lote.groupBy(*GRUPO, "parte").agg(
+    envelopes = vendas.withColumn("parte", parte).groupBy(*GRUPO, "parte").agg(
         F.first("loja_nome").alias("loja_nome"),
         F.first("cidade").alias("cidade"),
         F.first("estado").alias("estado"),

@@ -239,6 +239,11 @@ class LakeWarehouse(Warehouse):
         fato = self.lake.read("warehouse/fato_vendas", schemas.FATO_VENDAS)
         return fato.withColumn("desconto_pct_calc", F.col("desconto_pct")).select(*colunas)
 
+    def months(self) -> list[tuple[int, int]]:
+        """The partitions that the manifest names; no fact is read."""
+        pastas = [dict(x.split("=") for x in p.split("/")) for p in self.lake.partitions("warehouse/fato_vendas")]
+        return sorted(((int(p["ano"]), int(p["mes"])) for p in pastas), reverse=True)
+
     def dim_loja(self) -> DataFrame:
         return self.lake.read("warehouse/dim_loja")
 

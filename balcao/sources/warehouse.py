@@ -58,6 +58,11 @@ class Warehouse:
     def auditoria(self) -> DataFrame:
         raise NotImplementedError
 
+    def months(self) -> list[tuple[int, int]]:
+        """(year, month) of the facts, newest first."""
+        meses = self.fato("ano", "mes").distinct().collect()
+        return sorted(((r["ano"], r["mes"]) for r in meses), reverse=True)
+
     def lojas(self) -> DataFrame:
         """Store names for joins. The contract allows five store ids, so the broadcast is bounded."""
         return F.broadcast(self.dim_loja().select("loja_id", "loja_nome"))

@@ -8,6 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from balcao import schemas
 from balcao.functions import columns as col
 from balcao.functions.columns import serialize
 from balcao.functions.labels import relabel
@@ -977,13 +978,24 @@ _ARQ = (
     "COUNT(*) FILTER (WHERE cliente_id = 0) AS sem_cliente, COUNT(*) FILTER (WHERE produto_id = 0) AS sem_produto "
     "FROM bronze GROUP BY loja_id, data, turno)"
 )
+_TEXTO_DA_VENDA = {campo: f"CAST({campo} AS VARCHAR)" for campo in schemas.CAMPOS_VENDA} | {
+    "cliente_segmento": "segmento",
+    "desconto_percentual": "CAST(CAST(taxa * 100 AS DECIMAL(5,2)) AS VARCHAR)",
+    "data_venda": "strftime(data_venda, '%Y-%m-%dT%H:%M:%S')",
+    "motivo_cancelamento": "CASE WHEN status = 'CANCELADA' THEN 'Devolução' END",
+    "vendedor_id": "'VND-' || l_suppkey",
+    "parcelas": "CAST(l_linenumber AS BIGINT)",
+    **{campo: f"CAST({campo} AS BIGINT)" for campo in ("loja_id", "cliente_id", "produto_id", "quantidade")},
+}
+# The array in the order of its fields, and each sale with its keys in alphabetical order.
+_ORDEM_DAS_VENDAS = ", ".join(_TEXTO_DA_VENDA[campo] for campo in schemas.CAMPOS_VENDA)
+_VENDA_CANONICA = "struct_pack(" + ", ".join(f"{campo} := {_TEXTO_DA_VENDA[campo]}" for campo in sorted(schemas.CAMPOS_VENDA)) + ")"
 add(
     "A19_envelopes",
-    lambda wh: _envelopes(wh).select(
-        "loja_id", "data", "turno", "quantidade_registros", F.length("checksum").alias("tamanho_checksum")
-    ),
-    f"SELECT loja_id, {iso_date('data')}, turno, CAST(registros AS INTEGER) AS quantidade_registros, "
-    f"64 AS tamanho_checksum FROM {_ARQ}",
+    lambda wh: _envelopes(wh).select("loja_id", "data", "turno", "quantidade_registros", "checksum"),
+    f"SELECT loja_id, {iso_date('bronze.data')}, turno, CAST(COUNT(*) AS INTEGER) AS quantidade_registros, "
+    f"sha256(CAST(to_json(list({_VENDA_CANONICA} ORDER BY {_ORDEM_DAS_VENDAS})) AS VARCHAR)) AS checksum "
+    "FROM bronze LEFT JOIN dim_cliente USING (cliente_id) GROUP BY loja_id, bronze.data, turno",
 )
 add(
     "A5_arquivos_recusados",

@@ -239,7 +239,7 @@ def test_export_round_trip_and_write_once(spark, tmp_path):
     from balcao.params import Params
 
     vendas = export_input(spark)
-    partes = export.package(vendas, INSTANTE, Params(vendas_por_envelope=8))
+    partes = export.package(vendas, INSTANTE, Params(partes_por_turno=4))
     assert partes.count() > 1
     raiz = f"{tmp_path}/raw"
     export.emit(partes, raiz)
@@ -253,6 +253,20 @@ def test_export_round_trip_and_write_once(spark, tmp_path):
         export.emit(partes, raiz)
 
 
+def test_parts_do_not_depend_on_size(spark):
+    """One id with many rows is spread over the fixed parts; no sale is lost or moved by a growing shift."""
+    from balcao.params import Params
+
+    vendas = bronze_frame(spark, [sale(id_venda="VND-QUENTE", parcelas=1 + i % 12, quantidade=1 + i % 50) for i in range(600)])
+    vendas = vendas.withColumn("data", F.to_date("data_venda")).withColumn("data_venda", F.col("data_venda").cast("timestamp_ntz"))
+    params = Params(partes_por_turno=8)
+    partes = {r["parte"]: r for r in export.package(vendas, INSTANTE, params).collect()}
+    assert sorted(partes) == list(range(8)) and sum(r["quantidade_registros"] for r in partes.values()) == 600
+    assert max(r["quantidade_registros"] for r in partes.values()) < 120
+    metade = {r["parte"]: r for r in export.package(vendas.where("posicao < 300"), INSTANTE, params).collect()}
+    assert all(set(map(str, metade[k]["vendas"])) <= set(map(str, partes[k]["vendas"])) for k in metade)
+
+
 def test_tampered_export_is_refused(spark, tmp_path):
     import glob
 
