@@ -228,7 +228,8 @@ def propose(classes: DataFrame, threshold: float, recall: float) -> DataFrame:
 
 
 def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").bitwiseAND(F.lit((1 << 40) - 1)))).first())
+    """Count and two full hashes of all edges: equal for equal sets, whatever their order."""
+    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64(F.lit("again"), "v", "u"))).first())
 
 
 def components(links: DataFrame) -> DataFrame:
