@@ -211,6 +211,7 @@ class Job:
     def load_warehouse(self, vendas: DataFrame, checados: DataFrame, dias: Sequence[date]) -> DataFrame:
         """Merge Silver rows of the range into the star schema. Returns the counts as one row."""
         lake, p = self.lake, self.params
+        vendas = silver.null_nans(vendas)
         self.upsert("dim_tempo", load.calendar_rows(vendas.select(c("data_venda").alias("data"))), ["data_sk"], ())
         orcamentos = load.monthly_budget(self.catalog.budgets(), vendas.select("ano"), p)
         self.upsert("fato_orcamento", orcamentos, ["loja_id", "ano", "mes"], ())

@@ -17,8 +17,9 @@ from balcao.operators import contract, load, quality, silver
 from balcao.params import PADRAO
 from balcao.plans import alerts, analyst, forecast, marts, quality_status, snapshots, views
 from balcao.sources import export, raw
-from balcao.sources.sample_star import SEGMENTO, SampleStar, mistyped_product
+from balcao.sources.sample_star import SEGMENTO, SampleStar
 from checks import sample_job
+from checks.faulty_rows import mistyped_product, unclean_bronze
 from checks.oracle_base import DRE_VALORES, aprovacao, dbl, iso_date, iso_time, pct, pct2, sql
 
 c = F.col
@@ -927,7 +928,7 @@ _AVALIADAS = (
 
 
 def _evaluated(wh: SampleStar) -> DataFrame:
-    return quality.evaluate(wh.unclean_bronze(), wh.dim_produto())
+    return quality.evaluate(unclean_bronze(wh), wh.dim_produto())
 
 
 add(
