@@ -71,7 +71,8 @@ def reject_negative_net(df: DataFrame) -> DataFrame:
     """Fail the job when an active sale has a negative net value."""
     erro = F.raise_error(F.concat(F.lit("negative net value in sale "), F.col("id_venda")))
     return df.withColumn(
-        "valor_liquido", F.when(F.col("valor_liquido") < 0, erro.cast(DINHEIRO)).otherwise(F.col("valor_liquido"))
+        "valor_liquido",
+        F.when((F.col("status") != "CANCELADA") & (F.col("valor_liquido") < 0), erro.cast(DINHEIRO)).otherwise(F.col("valor_liquido")),
     )
 
 
@@ -85,16 +86,19 @@ def stamp(df: DataFrame, instante: datetime, params: Params = PADRAO) -> DataFra
 class Silver:
     ativas: DataFrame
     canceladas: DataFrame
+    #: Both kinds as one plan, so that who reads both does not compute their sales twice.
+    juntas: DataFrame | None = None
 
     def todas(self) -> DataFrame:
-        return self.ativas.unionByName(self.canceladas)
+        return self.juntas if self.juntas is not None else self.ativas.unionByName(self.canceladas)
 
 
 def to_silver(bronze: DataFrame, instante: datetime, params: Params = PADRAO) -> Silver:
     """Active sales (completed and pending) apart from cancelled ones."""
     tratadas = stamp(calendar_columns(financial_columns(standardize(dedup_sales(bronze)))), instante, params)
     ativas = reject_negative_net(tratadas.where("status <> 'CANCELADA'"))
-    return Silver(ativas, tratadas.where("status = 'CANCELADA'"))
+    juntas = reject_negative_net(tratadas.where("status is not null"))
+    return Silver(ativas, tratadas.where("status = 'CANCELADA'"), juntas)
 
 
 def silver_schema(spark: SparkSession) -> T.StructType:

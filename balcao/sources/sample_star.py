@@ -81,8 +81,19 @@ class SampleStar(Warehouse):
         return keep_last(self.lines(), LINHA_CHAVE, [F.col(o).desc() for o in LINHA_ORDEM])
 
     def sales(self, linhas: DataFrame, colunas: set[str]) -> DataFrame:
-        """Contract columns of the given order lines."""
-        df = linhas.withColumn("data_venda", sale_time()).withColumns(
+        """Contract columns of the given order lines. Joins come before the columns that are computed from them, and customers are
+        joined to their orders, so that what is shuffled is as narrow, and as few rows, as it can be."""
+        df = linhas
+        if colunas & _DE_PEDIDO:
+            pedidos = self.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+            if colunas & _DE_CLIENTE:
+                clientes = self.dim_cliente().withColumnsRenamed({"cliente_id": "_cliente", "segmento": "cliente_segmento"})
+                pedidos = pedidos.join(clientes, F.col("o_custkey") == F.col("_cliente"), "left").drop("_cliente")
+            df = df.join(pedidos, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        if colunas & _DE_PRODUTO:
+            produtos = self.dim_produto().withColumnsRenamed({"produto_id": "_produto", "custo_base": "custo_unitario"})
+            df = df.join(produtos, F.col("l_partkey") == F.col("_produto"), "left").drop("_produto")
+        df = df.withColumn("data_venda", sale_time()).withColumns(
             {
                 "id_venda": F.concat_ws("-", F.lit("VND"), "l_orderkey", "l_linenumber"),
                 "produto_id": F.col("l_partkey"),
@@ -106,8 +117,7 @@ class SampleStar(Warehouse):
             ).cast(DINHEIRO),
         )
         if colunas & _DE_PEDIDO:
-            pedidos = self.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-            df = df.join(pedidos, F.col("l_orderkey") == F.col("o_orderkey"), "left").withColumns(
+            df = df.withColumns(
                 {
                     "cliente_id": F.col("o_custkey"),
                     "canal_venda": F.col("o_orderpriority"),
@@ -118,13 +128,6 @@ class SampleStar(Warehouse):
                 }
             )
             df = df.withColumn("motivo_cancelamento", F.when(F.col("status") == "CANCELADA", "Devolução"))
-        if colunas & _DE_CLIENTE:
-            df = df.join(self.dim_cliente(), "cliente_id", "left").withColumnsRenamed(
-                {"segmento": "cliente_segmento"}
-            )
-        if colunas & _DE_PRODUTO:
-            produtos = self.dim_produto().withColumn("custo_unitario", F.col("custo_base")).drop("custo_base")
-            df = df.join(produtos, "produto_id", "left")
         return df
 
     def fato(self, *colunas: str) -> DataFrame:

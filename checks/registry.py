@@ -1143,7 +1143,7 @@ def load_counts(wh: SampleStar) -> DataFrame:
 
 add(
     "L2_clientes",
-    lambda wh: load.customers(wh.bronze()),
+    lambda wh: load.customers(wh.bronze("status", "cliente_nome", "cliente_segmento")),
     "SELECT cliente_id, cliente_nome, segmento FROM dim_cliente WHERE cliente_id IN (SELECT cliente_id FROM bronze)",
 )
 _DIM_TEMPO = (
@@ -1232,7 +1232,7 @@ add("L7_merge_dre", _dre_merge, f"SELECT {DRE} FROM dre")
 
 def _known(wh: SampleStar) -> DataFrame:
     """Fact rows per store; sales of a product that is not listed are dropped."""
-    vendas = write_intermediate(_silver(wh, mistyped_product()).todas(), "silver")
+    vendas = _silver(wh, mistyped_product()).todas()
     clientes = wh.dim_cliente()
     linhas = load.fact_rows(vendas, wh.dim_loja(), wh.dim_produto(), clientes, PADRAO.instante)
     return linhas.groupBy("loja_id").agg(F.count("*").alias("vendas"), F.sum("valor_liquido").alias("valor_liquido"))
