@@ -45,12 +45,17 @@ def package(vendas: DataFrame, gerado_em: datetime, params: Params = PADRAO) ->
     espalha = F.xxhash64(*schemas.CAMPOS_VENDA, *posicao)
     parte = F.pmod(espalha, F.lit(params.partes_por_turno)).cast("int") if params.partes_por_turno > 1 else F.lit(0)
     venda = F.struct(*[_raw_value(campo).alias(campo) for campo in schemas.CAMPOS_VENDA])
-    envelopes = vendas.withColumn("parte", parte).groupBy(*GRUPO, "parte").agg(
+    # Sales are spread before they become text, and over all partitions whatever their size: a task holds few envelopes at a time.
+    partes = int(vendas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    juntas = vendas.withColumn("parte", parte).select(*dict.fromkeys([*GRUPO, "parte", "loja_nome", "cidade", "estado", *schemas.CAMPOS_VENDA]))
+    chave = (*GRUPO, "parte") if params.partes_por_turno > 1 else GRUPO
+    envelopes = juntas.repartition(partes, *chave).groupBy(*chave).agg(
         F.first("loja_nome").alias("loja_nome"),
         F.first("cidade").alias("cidade"),
         F.first("estado").alias("estado"),
         F.sort_array(F.collect_list(venda)).alias("vendas"),
     )
+    envelopes = envelopes if "parte" in chave else envelopes.withColumn("parte", F.lit(0))
     campos = {
         "schema_version": F.lit(schemas.VERSAO_CONTRATO),
         "origem": F.lit(schemas.ORIGEM_CONTRATO),
