@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from balcao import schemas
-from balcao.operators import bloom, silver
+from balcao.functions.columns import text
+from balcao.functions.lineage import LINHAS_GRANDES, write_intermediate
+from balcao.operators import bloom, key_index, silver
 from balcao.sources import export
+from balcao.sources.lake import Lake
 from conftest import INSTANTE, TRES_VENDAS, bronze_frame
 
 
@@ -37,3 +41,28 @@ def test_envelopes_are_spread_over_all_partitions_by_one_shuffle(spark):
     assert "REPARTITION_BY_NUM" in plano and plano.count("Exchange hashpartitioning") == 1
     assert export.package(vendas, INSTANTE).select("parte", "quantidade_registros").first() == (0, len(TRES_VENDAS))
     assert set(schemas.CAMPOS_ENVELOPE) <= set(export.package(vendas, INSTANTE).columns)
+
+
+def test_orders_of_a_month_lie_in_few_bitmaps(spark, tmp_path):
+    chaves = spark.range(72_000).select(F.concat(F.lit("VND-"), "id").alias("chave"), F.lit(2026).alias("ano"), (F.col("id") % 12 + 1).cast("int").alias("mes"))
+    lago = Lake(spark, str(tmp_path))
+    with lago.transaction():
+        numeros = key_index.numbered(lago, "indice/vendas", chaves, 16)
+        vendas = numeros.join(chaves, "chave")
+        assert vendas.agg(F.min("numero"), F.max("numero"), F.count_distinct("numero")).first() == (1, 72_000, 72_000)
+        bits = key_index.order_bits(vendas, "ano", "mes")
+        assert bits.count() <= 12 + 2
+        assert {r["pedidos"] for r in key_index.counted(bits, "ano", "mes").collect()} == {6_000}
+
+
+def test_large_rows_lie_in_small_row_groups(spark):
+    escritas = write_intermediate(spark.range(50).coalesce(1), "grandes", LINHAS_GRANDES)
+    grupos = pq.ParquetFile(escritas.inputFiles()[0].removeprefix("file://")).metadata
+    assert escritas.count() == 50 and max(grupos.row_group(i).num_rows for i in range(grupos.num_row_groups)) <= 8
+
+
+def test_clean_text_is_not_trimmed_by_a_list_of_characters(spark):
+    valores = ["a", " a", "a　", " a b\t", "é", "a é", "", "\x7f", "~", None, " "]
+    df = spark.createDataFrame([(v,) for v in valores], "v string")
+    assert [r[0] for r in df.select(text(F.col("v"))).collect()] == [None if v is None else v.strip() for v in valores]
+    assert "CASE WHEN" in plan_of(df.select(text(F.col("v"))))
