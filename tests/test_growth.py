@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from balcao import schemas
 from balcao.functions.lineage import LINHAS_GRANDES, write_intermediate
 from balcao.operators import bloom, contract, key_index, silver
-from balcao.sources import export
+from balcao.sources import export, raw
 from balcao.sources.lake import Lake
-from conftest import INSTANTE, TRES_VENDAS, bronze_frame
+from tests.conftest import INSTANTE, TRES_VENDAS, bronze_frame, envelope, land, sale
 
 
 def plan_of(df) -> str:
@@ -68,3 +68,13 @@ def test_sale_rules_have_no_slow_membership_test(spark):
     lido = spark.sql("SELECT named_struct('status', 'X', 'cliente_segmento', cast(null as string)) AS v")
     assert [r[0] for r in lido.select(contract.among(F.col("v.status"), ("X", "Y"))).collect()] == [True]
     assert lido.select(contract.among(F.col("v.cliente_segmento"), ("X", "Y"))).first()[0] is None
+
+
+def test_each_field_of_a_sale_is_trimmed_once(spark, tmp_path):
+    land(tmp_path, envelope([sale(cliente_nome="  Ana Prado\t")]) | {"checksum": envelope([sale()])["checksum"]})
+    checados = contract.check(raw.parse(raw.scan(spark, f"{tmp_path}/raw", "2026-01-08", "2026-01-08")))
+    assert checados.selectExpr("erros", "vendas[0].cliente_nome").first() == ([], "Ana Prado")
+    plano = checados._jdf.queryExecution().optimizedPlan().toString()
+    assert plano.count("trim(") < 60
+    regras = str(contract.sale_is_right(F.col("v"))).lower()
+    assert "trim(" not in regras and regras.count("as timestamp_ntz") <= 1 and regras.count("multiply(") <= 2
