@@ -78,3 +78,25 @@ def test_each_field_of_a_sale_is_trimmed_once(spark, tmp_path):
     assert plano.count("trim(") < 60
     regras = str(contract.sale_is_right(F.col("v"))).lower()
     assert "trim(" not in regras and regras.count("as timestamp_ntz") <= 1 and regras.count("multiply(") <= 2
+
+
+def test_a_large_file_is_a_row_group_of_its_own(spark):
+    grandes = spark.range(4).coalesce(1).select(F.repeat(F.col("id").cast("string"), 9_000_000).alias("value"))
+    escritas = write_intermediate(grandes, "grandes", LINHAS_GRANDES)
+    grupos = pq.ParquetFile(escritas.inputFiles()[0].removeprefix("file://")).metadata
+    assert [grupos.row_group(i).num_rows for i in range(grupos.num_row_groups)] == [1, 1, 1, 1]
+
+
+def test_sales_are_collected_as_bytes_by_small_tasks(spark):
+    vendas = bronze_frame(spark, TRES_VENDAS).withColumn("data", F.to_date("data_venda"))
+    plano = plan_of(export.package(vendas, INSTANTE))
+    assert "collect_list(venda#" in plano
+    partes = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert f", {export.TAREFAS_POR_PARTICAO * partes}), REPARTITION_BY_NUM" in plano
+
+
+def test_a_file_is_copied_by_two_generators_only(spark, tmp_path):
+    land(tmp_path, envelope(TRES_VENDAS))
+    checados = contract.check(raw.parse(raw.scan(spark, f"{tmp_path}/raw", "2026-01-08", "2026-01-08")))
+    plano = checados._jdf.queryExecution().optimizedPlan().toString()
+    assert plano.count("Generate ") == 2 and "value#" not in plano.split("Generate inline(true)")[0].split("Generate ")[0]
